@@ -13,6 +13,23 @@ def c(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def q(name: str) -> str:
+    """Back-quoted identifier for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return repr(v)
+    if isinstance(v, float):
+        return f"{v!r}D" if v == v and abs(v) != float("inf") else f"CAST('{v!r}' AS DOUBLE)"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def round6(col: Column) -> Column:
     return F.round(col, 6)
 

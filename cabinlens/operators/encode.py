@@ -17,18 +17,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabinlens import schema as S
-from cabinlens.functions.exprs import c
+from cabinlens.functions.exprs import c, q, sql_literal
 from cabinlens.functions.guards import MAX_CATEGORIES, collect_bounded, join_small
 
 
+_INTS = ("int", "bigint", "smallint", "tinyint")
+
+
+def _typed(v, dtype: str):
+    if v is None:
+        return None
+    if dtype in _INTS:
+        return int(v)
+    if dtype in ("double", "float"):
+        return float(v)
+    if dtype == "boolean":
+        return v == "true"
+    return v
+
+
+def _tagged(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(k, v)``: column index and value as text, one generator per row."""
+    pairs = [F.struct(F.lit(i).alias("k"), c(x).cast("string").alias("v")) for i, x in enumerate(cols)]
+    return df.select(F.explode(F.array(*pairs)).alias("s")).select("s.k", "s.v")
+
+
+def distinct_values(df: DataFrame, cols: Sequence[str], keep_null: bool = False) -> dict[str, list]:
+    """Sorted distinct values of several columns in one job (NULL last when kept).
+
+    The distinct set is combined map-side and read back only up to a bound.
+    """
+    if not cols:
+        return {}
+    rows = collect_bounded(_tagged(df, cols).distinct(), MAX_CATEGORIES * len(cols), "category lists")
+    types = dict(df.dtypes)
+    out: dict[str, list] = {}
+    for i, x in enumerate(cols):
+        vals = [_typed(r["v"], types[x]) for r in rows if r["k"] == i]
+        present = sorted(v for v in vals if v is not None)
+        if len(present) > MAX_CATEGORIES:
+            raise ValueError(f"{x} has more than {MAX_CATEGORIES} categories")
+        if keep_null and any(v is None for v in vals):
+            present.append(None)
+        out[x] = present
+    return out
+
+
+def value_frequencies(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """Counts of each non-NULL value of several columns in one job."""
+    counts = _tagged(df, cols).where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("n"))
+    rows = collect_bounded(counts, MAX_CATEGORIES * len(cols), "frequency tables")
+    types = dict(df.dtypes)
+    out: dict[str, dict] = {x: {} for x in cols}
+    for r in rows:
+        x = cols[r["k"]]
+        out[x][_typed(r["v"], types[x])] = r["n"]
+    return out
+
+
 def _sorted_distinct(df: DataFrame, col: str, keep_null: bool = False) -> list:
-    """Sorted distinct values of ``col`` (NULL last when kept)."""
-    rows = collect_bounded(df.select(c(col).alias("v")).distinct(), MAX_CATEGORIES, f"categories of {col}")
-    values = [r["v"] for r in rows]
-    present = sorted(v for v in values if v is not None)
-    if keep_null and any(v is None for v in values):
-        present.append(None)
-    return present
+    return distinct_values(df, [col], keep_null)[col]
 
 
 def _label(v) -> str:
@@ -79,7 +127,7 @@ class CategoryCodes:
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "CategoryCodes":
-        return cls({x: _sorted_distinct(df, x) for x in cols})
+        return cls(distinct_values(df, cols))
 
     def transform(self, df: DataFrame) -> DataFrame:
         exprs = {}
@@ -114,12 +162,9 @@ class OneHot:
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], drop_first: bool = False,
             domains: Mapping[str, Sequence] | None = None) -> "OneHot":
-        cats = {}
-        for x in cols:
-            if domains and x in domains:
-                cats[x] = list(domains[x])
-            else:
-                cats[x] = _sorted_distinct(df, x, keep_null=not drop_first)
+        domains = domains or {}
+        fitted = distinct_values(df, [x for x in cols if x not in domains], keep_null=not drop_first)
+        cats = {x: list(domains[x]) if x in domains else fitted[x] for x in cols}
         return cls(cats, drop_first)
 
     def columns_for(self, x: str) -> list[tuple[str, object]]:
@@ -133,12 +178,14 @@ class OneHot:
         return [(f"{x}_{_label(v)}".replace(" ", "_"), v) for v in keep]
 
     def transform(self, df: DataFrame) -> DataFrame:
+        # SQL text keeps the wide projection to one planner call
         new_cols = []
         for x in self.categories:
             for name, v in self.columns_for(x):
-                new_cols.append(F.coalesce(_is(c(x), v), F.lit(False)).cast("int").alias(name))
-        kept = [c(x) for x in df.columns if x not in self.categories]
-        return df.select(*kept, *new_cols)
+                test = f"{q(x)} IS NULL" if v is None else f"COALESCE({q(x)} = {sql_literal(v)}, false)"
+                new_cols.append(f"CAST({test} AS INT) AS {q(name)}")
+        kept = [q(x) for x in df.columns if x not in self.categories]
+        return df.selectExpr(*kept, *new_cols)
 
 
 def onehot(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -159,17 +206,18 @@ def survey_dummies(df: DataFrame, cols: Sequence[str] | None = None, domain: Seq
     cols = list(cols or S.SURVEY)
     per_col = {x: list(domain) for x in cols}
     if extra_values:
+        found_all = distinct_values(df, cols)
         for x in cols:
-            found = _sorted_distinct(df, x)
+            found = found_all[x]
             extra = [v for v in found if v not in per_col[x] and v != 0]
             per_col[x] = sorted(set(per_col[x]) | set(extra), key=float)
     new_cols = []
     for x in cols:
         for v in per_col[x]:
             label = int(v) if float(v).is_integer() else v
-            new_cols.append(F.coalesce(c(x) == F.lit(v), F.lit(False)).cast("int").alias(f"{x}_{label}"))
-    kept = [c(x) for x in df.columns if x not in cols]
-    return df.select(*kept, *new_cols)
+            new_cols.append(f"CAST(COALESCE({q(x)} = {sql_literal(v)}, false) AS INT) AS {q(f'{x}_{label}')}")
+    kept = [q(x) for x in df.columns if x not in cols]
+    return df.selectExpr(*kept, *new_cols)
 
 
 # -- C7 ---------------------------------------------------------------------
@@ -182,11 +230,9 @@ class FrequencyEncoder:
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "FrequencyEncoder":
         shares = {}
-        for x in cols:
-            counts = df.where(c(x).isNotNull()).groupBy(c(x).alias("v")).agg(F.count("*").alias("n"))
-            rows = collect_bounded(counts, MAX_CATEGORIES, f"frequency table of {x}")
-            total = sum(r["n"] for r in rows)
-            shares[x] = {r["v"]: r["n"] / total for r in rows}
+        for x, counts in value_frequencies(df, cols).items():
+            total = sum(counts.values())
+            shares[x] = {v: n / total for v, n in counts.items()}
         return cls(shares)
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -142,17 +142,16 @@ def compare_moments(train: DataFrame, test: DataFrame, cols: Sequence[str] | Non
     cols = list(cols or numeric_columns(train))
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        aggs = []
-        for i, x in enumerate(cols):
-            col = c(x).cast("double")
-            has_null = F.count(F.lit(1)) != F.count(col)
-            aggs += [
-                F.avg(col).alias(f"{tag}_mean__{i}"),
-                F.stddev_samp(col).alias(f"{tag}_std__{i}"),
-                F.when(~has_null, F.skewness(col)).alias(f"{tag}_skew__{i}"),
-                F.when(~has_null, F.kurtosis(col)).alias(f"{tag}_kurt__{i}"),
-            ]
-        return _long(df.agg(*aggs), cols, {f"{tag}_{k}": "double" for k in ("mean", "std", "skew", "kurt")})
+        # long form + groupBy(feature): a narrow aggregate whatever the width,
+        # combined map-side to one row per feature before the shuffle
+        long = _unpivot(df, cols)
+        has_null = F.count(F.lit(1)) != F.count("value")
+        return long.groupBy(F.col("feature").alias("column")).agg(
+            F.avg("value").alias(f"{tag}_mean"),
+            F.stddev_samp("value").alias(f"{tag}_std"),
+            F.when(~has_null, F.skewness("value")).alias(f"{tag}_skew"),
+            F.when(~has_null, F.kurtosis("value")).alias(f"{tag}_kurt"),
+        )
 
     return side(train, "train").join(side(test, "test"), "column")
 

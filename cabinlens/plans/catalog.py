@@ -34,15 +34,19 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def finish(df: DataFrame) -> DataFrame:
-    """Round every double column to 6 decimals (the oracle does the same)."""
-    return df.select(
-        *[
-            F.round(F.col(f"`{f.name}`"), 6).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    """Round every double column to 6 decimals (the oracle does the same);
+    adding 0.0 turns -0.0 into 0.0.  Built as SQL text: one planner call."""
+    exprs = [
+        f"ROUND({_q(f.name)}, 6) + 0.0 AS {_q(f.name)}"
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else _q(f.name)
+        for f in df.schema.fields
+    ]
+    return df.selectExpr(*exprs)
 
 
 # shared inputs ---------------------------------------------------------------

@@ -18,7 +18,8 @@ def q(name: str) -> str:
 
 
 def r6(expr: str) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), 6)"
+    # "+ 0.0" turns a rounded -0.0 into 0.0
+    return f"(ROUND(CAST({expr} AS DOUBLE), 6) + 0.0)"
 
 
 NORMALIZED = ",\n  ".join(f"{q(x)} AS {q(S.normalize_name(x))}" for x in S.RAW_COLUMNS)
