@@ -1 +1,140 @@
-"""Queries."""
+"""Queries for learners, scoring, importances, cross-validation and search.
+
+Learner outputs depend on MLlib's solvers, so these have no oracle SQL
+(rows-only check); tests check schema, determinism and accuracy bounds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cabinlens import schema as S
+from cabinlens.operators import encode as E
+from cabinlens.operators import learn as J
+from cabinlens.operators import missing as M
+from cabinlens.operators import search as L
+from cabinlens.operators import split as H
+from cabinlens.operators.select import split_xy
+from cabinlens.plans import features as FE
+from cabinlens.plans.catalog import finish, register, test_frame, train_frame
+from cabinlens.sources import fixtures as FX
+from cabinlens.sources.io import normalize_columns
+
+BOOSTED_DEFAULTS = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1}
+FOREST_DEFAULTS = {"n_estimators": 20, "max_depth": 8, "max_features": "sqrt", "min_samples_leaf": 1}
+
+
+def tree_xy(spark, sf, sort: bool = False):
+    """(train xy, test xy, feature names) on the tree feature set."""
+    train = train_frame(spark, sf)
+    tr = FE.features_tree(train)
+    te = FE.features_tree(test_frame(spark, sf), fit_on=train)
+    xy_train, names = split_xy(tr, sort=sort)
+    xy_test, _ = split_xy(te.select(*[c for c in tr.columns if c != S.TARGET]), sort=sort, label=S.TARGET)
+    return xy_train, xy_test, names
+
+
+def notebook_xy(spark, sf):
+    """Label-coded baseline columns of the notebook (mode-filled arrival)."""
+    train = normalize_columns(FX.raw_train(spark, sf))
+    test = normalize_columns(FX.raw_test(spark, sf))
+    fill = M.FillMode.fit(train, ["Arrival_Delay_in_Minutes"])
+    train, test = fill.transform(train), fill.transform(test)
+    for col, mapping in S.NOTEBOOK_CODES.items():
+        train, test = E.map_values(train, col, mapping), E.map_values(test, col, mapping)
+    train = E.encode_rating(train)
+    xy_train, names = split_xy(train)
+    xy_test, _ = split_xy(test)
+    return xy_train, xy_test, names
+
+
+@register("logistic_baseline_scores")
+def logistic_baseline_scores(spark, sf):
+    xy_train, xy_test, _ = notebook_xy(spark, sf)
+    model = J.logistic(n_rows=xy_train.count()).fit(xy_train)
+    return finish(J.score(model, xy_test))
+
+
+@register("forest_scores")
+def forest_scores(spark, sf):
+    xy_train, xy_test, _ = tree_xy(spark, sf)
+    model = J.forest(FOREST_DEFAULTS).fit(xy_train)
+    return finish(J.score(model, xy_test))
+
+
+@register("boosted_trees_scores")
+def boosted_trees_scores(spark, sf):
+    xy_train, xy_test, _ = tree_xy(spark, sf)
+    model = J.boosted_trees(BOOSTED_DEFAULTS).fit(xy_train)
+    return finish(J.score(model, xy_test, threshold=0.5))
+
+
+@register("network_scores")
+def network_scores(spark, sf):
+    train = train_frame(spark, sf)
+    tr = FE.features_nn(train)
+    te = FE.features_nn(test_frame(spark, sf), fit_on=train)
+    xy_train, names = split_xy(tr, sort=True)
+    xy_test, _ = split_xy(te, sort=True)
+    model = J.mlp(len(names), hidden=(32, 16), max_iter=60).fit(xy_train)
+    return finish(J.score(model, xy_test, threshold=0.5, strict=True))
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    xy_train, _, names = tree_xy(spark, sf)
+    model = J.boosted_trees(BOOSTED_DEFAULTS).fit(xy_train)
+    return finish(J.feature_importance(model, names, spark))
+
+
+def _with_folds(xy, k=5, seed=42):
+    return H.stratified_kfold(xy, S.TARGET, k=k, seed=seed)
+
+
+@register("cv_accuracy")
+def cv_accuracy(spark, sf):
+    xy_train, _, _ = tree_xy(spark, sf)
+    return finish(J.cv_score(J.boosted_trees(BOOSTED_DEFAULTS), _with_folds(xy_train), k=5))
+
+
+@register("voting_ensemble_scores")
+def voting_ensemble_scores(spark, sf):
+    """Full feature set, best features, three tree models, weighted hard vote."""
+    from cabinlens.operators import evaluate as K
+    from cabinlens.operators.select import keep_features
+
+    train = train_frame(spark, sf)
+    tr = keep_features(FE.features_full(train), S.BEST_FEATURES)
+    te = keep_features(FE.features_full(test_frame(spark, sf), fit_on=train), S.BEST_FEATURES)
+    xy_train, _ = split_xy(tr)
+    xy_test, _ = split_xy(te)
+    models = [
+        J.boosted_trees(BOOSTED_DEFAULTS).fit(xy_train),
+        J.forest(FOREST_DEFAULTS).fit(xy_train),
+        J.boosted_trees({**BOOSTED_DEFAULTS, "max_depth": 4}, seed=7).fit(xy_train),
+    ]
+    scored = xy_test.select("id")
+    for i, m in enumerate(models):
+        scored = scored.join(J.score(m, xy_test).select("id", F.col("prediction").alias(f"m{i}")), "id")
+    return K.hard_vote(scored, ["m0", "m1", "m2"], S.VOTE_WEIGHTS)
+
+
+@register("random_search_trials")
+def random_search_trials(spark, sf):
+    xy_train, _, _ = tree_xy(spark, sf)
+    space = {**L.FOREST_SPACE, "n_estimators": ("choice", [10, 20]), "max_depth": ("choice", [4, 6, 8])}
+    return finish(L.random_search(lambda p: J.forest(p), _with_folds(xy_train, k=3), space, n=3, seed=393, k=3,
+                                  name="forest"))
+
+
+@register("feature_subset_trials")
+def feature_subset_trials(spark, sf):
+    wide = FE.features_full(train_frame(spark, sf))
+    for x, d in (("Age", 3), ("Flight_Distance", 3), ("Departure_Delay_in_Minutes", 3), ("Arrival_Delay_in_Minutes", 3)):
+        wide = wide.withColumn(f"{x}^{d}", F.col(f"`{x}`") ** d)
+    wide = _with_folds(wide, k=3)
+    on_off = [x for x in [*S.SURVEY, "Gender_Male", "Type_of_Travel_Personal", "Class_Economy", "Class_Economy_Plus",
+                          *[f"{a}_x_{b}" for a, b in S.INTERACTIONS], *[n for n, _ in S.SCORE_SUMS],
+                          *[n for n, _, _ in S.CONSISTENCY_DIFFS]]]
+    return finish(L.feature_subset_search(lambda: J.boosted_trees({"n_estimators": 10, "max_depth": 4}), wide,
+                                          on_off, n=3, seed=393, k=3))
