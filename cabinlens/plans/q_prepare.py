@@ -588,3 +588,16 @@ _NN_SQL = (
 @register("features_nn", _NN_SQL)
 def features_nn(spark, sf):
     return finish(FE.features_nn(train_frame(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# Exact KNN imputation fitted on train, applied to test.  Quadratic work,
+# so no oracle SQL; tests compare it with a brute-force computation.
+
+
+@register("knn_nonresponse")
+def knn_nonresponse(spark, sf):
+    from cabinlens.operators.knn import KnnImputer
+
+    model = KnnImputer.fit(train_frame(spark, sf), S.SURVEY, k=5)
+    return finish(model.transform(test_frame(spark, sf)).select("id", *[c(x) for x in S.SURVEY]))
