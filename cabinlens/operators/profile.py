@@ -161,7 +161,9 @@ def value_shares(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(feature, value, share)`` among non-NULL values of each feature."""
     long = _unpivot(df, cols).where(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    totals = long.groupBy("feature").agg(F.count("*").alias("total"))  # one row per feature
+    # totals come from the (small) counts table, so the input is read once;
+    # one row per feature, a bounded broadcast
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     return counts.join(F.broadcast(totals), "feature").select(
         "feature", "value", (F.col("n") / F.col("total")).alias("share")
     )
