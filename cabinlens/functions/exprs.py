@@ -53,13 +53,43 @@ def _edge(v: float) -> Column:
     return F.lit(float(v))
 
 
-def cut(col: Column, edges: Sequence[float], labels: Sequence[str], right: bool = True,
+def _edge_text(v: float) -> str:
+    v = float(v)
+    if v == float("inf"):
+        return "CAST('Infinity' AS DOUBLE)"
+    if v == float("-inf"):
+        return "CAST('-Infinity' AS DOUBLE)"
+    return f"{v!r}D"
+
+
+def cut_text(col: str, edges: Sequence[float], labels: Sequence[str], right: bool = True,
+             include_lowest: bool = False) -> str:
+    """SQL text of ``cut`` over the SQL expression ``col``."""
+    if len(labels) != len(edges) - 1:
+        raise ValueError("need one label per interval")
+    whens = []
+    for i, label in enumerate(labels):
+        lo, hi = _edge_text(edges[i]), _edge_text(edges[i + 1])
+        if right:
+            lop = ">=" if (include_lowest and i == 0) else ">"
+            cond = f"{col} {lop} {lo} AND {col} <= {hi}"
+        else:
+            hop = "<=" if (include_lowest and i == len(labels) - 1) else "<"
+            cond = f"{col} >= {lo} AND {col} {hop} {hi}"
+        whens.append(f"WHEN {cond} THEN {sql_literal(label)}")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def cut(col: Column | str, edges: Sequence[float], labels: Sequence[str], right: bool = True,
         include_lowest: bool = False) -> Column:
     """Interval labels like ``pandas.cut``: ``(a,b]`` (``right``) or ``[a,b)``.
 
     Values outside all intervals (and NULL) give NULL; edges may be infinite.
     A CASE chain over literals, so it stays inside whole-stage codegen.
+    ``col`` is a column name (built as SQL text) or a Column.
     """
+    if isinstance(col, str):
+        return F.expr(cut_text(q(col), edges, labels, right, include_lowest))
     if len(labels) != len(edges) - 1:
         raise ValueError("need one label per interval")
     expr = None

@@ -66,7 +66,7 @@ def polynomial(df: DataFrame, cols: Sequence[str], degree: int = 2) -> DataFrame
 # -- D5 ---------------------------------------------------------------------
 def cut(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[str], name: str | None = None,
         right: bool = True, include_lowest: bool = False) -> DataFrame:
-    return df.withColumn(name or col, cut_expr(c(col), edges, labels, right, include_lowest))
+    return df.withColumn(name or col, cut_expr(col, edges, labels, right, include_lowest))
 
 
 # -- D6 ---------------------------------------------------------------------
@@ -112,7 +112,7 @@ class QuantileBins:
         return interval_labels(self.edges[col])
 
     def expr(self, col: str):
-        return cut_expr(c(col), self.edges[col], self.labels(col), right=True, include_lowest=True)
+        return cut_expr(col, self.edges[col], self.labels(col), right=True, include_lowest=True)
 
     def transform(self, df: DataFrame, suffix: str = "_qbin") -> DataFrame:
         return df.withColumns({f"{x}{suffix}": self.expr(x) for x in self.edges})

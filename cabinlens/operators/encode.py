@@ -38,8 +38,8 @@ def _typed(v, dtype: str):
 
 def _tagged(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(k, v)``: column index and value as text, one generator per row."""
-    pairs = [F.struct(F.lit(i).alias("k"), c(x).cast("string").alias("v")) for i, x in enumerate(cols)]
-    return df.select(F.explode(F.array(*pairs)).alias("s")).select("s.k", "s.v")
+    pairs = ", ".join(f"{i}, CAST({q(x)} AS STRING)" for i, x in enumerate(cols))
+    return df.selectExpr(f"stack({len(cols)}, {pairs}) AS (k, v)")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str], keep_null: bool = False) -> dict[str, list]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabinlens import schema as S
-from cabinlens.functions.exprs import c
+from cabinlens.functions.exprs import c, q, sql_literal
 
 
 # -- B1 ---------------------------------------------------------------------
@@ -47,12 +47,10 @@ class FillMode:
 def null_counts(df: DataFrame) -> DataFrame:
     """``(column, nulls, total_nulls)``: one aggregation pass, then unpivot."""
     cols = df.columns
-    counts = df.agg(*[F.sum(c(x).isNull().cast("long")).alias(f"n{i}") for i, x in enumerate(cols)])
-    total = sum((F.coalesce(F.col(f"n{i}"), F.lit(0)) for i in range(len(cols))), F.lit(0)).cast("long")
-    pairs = F.array(*[F.struct(F.lit(x).alias("column"), F.col(f"n{i}").alias("nulls")) for i, x in enumerate(cols)])
-    return counts.select(F.explode(pairs).alias("s"), total.alias("total_nulls")).select(
-        "s.column", F.coalesce("s.nulls", F.lit(0)).cast("long").alias("nulls"), "total_nulls"
-    )
+    counts = df.agg(*[F.expr(f"count(1) - count({q(x)})").alias(f"n{i}") for i, x in enumerate(cols)])
+    total = " + ".join(f"n{i}" for i in range(len(cols)))
+    pairs = ", ".join(f"{sql_literal(x)}, n{i}" for i, x in enumerate(cols))
+    return counts.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, nulls)", f"CAST({total} AS BIGINT) AS total_nulls")
 
 
 # -- B4 ---------------------------------------------------------------------
@@ -98,19 +96,16 @@ def impute_group_mean(df: DataFrame, groups: dict[str, Sequence[str]] | None = N
     groups = groups or S.GROUPS
     cols = [x for feats in groups.values() for x in feats]
     modes = mode_values(df, cols)
-    out = df.withColumns({x: c(x).cast("double") for x in cols})
+    out = df.withColumns({x: F.expr(f"CAST({q(x)} AS DOUBLE)") for x in cols})
     for feats in groups.values():
         for x in feats:
             peers = [p for p in feats if p != x]
-            if ignore_zero_peers:
-                usable = [F.when(c(p) != 0, c(p)) for p in peers]
-            else:
-                usable = [c(p) for p in peers]
-            total = sum((F.coalesce(u, F.lit(0.0)) for u in usable), F.lit(0.0))
-            count = sum((u.isNotNull().cast("int") for u in usable), F.lit(0))
-            mean = F.when(count > 0, total / count)
-            fallback = F.lit(modes[x]).cast("double")
-            out = out.withColumn(x, F.when(c(x) == 0, F.coalesce(mean, fallback)).otherwise(c(x)))
+            usable = [f"CASE WHEN {q(p)} <> 0 THEN {q(p)} END" if ignore_zero_peers else q(p) for p in peers]
+            total = " + ".join(f"COALESCE({u}, 0D)" for u in usable) or "0D"
+            count = " + ".join(f"CASE WHEN {u} IS NULL THEN 0 ELSE 1 END" for u in usable) or "0"
+            fallback = f"CAST({sql_literal(modes[x])} AS DOUBLE)"
+            fill = f"COALESCE(CASE WHEN ({count}) > 0 THEN ({total}) / ({count}) END, {fallback})"
+            out = out.withColumn(x, F.expr(f"CASE WHEN {q(x)} = 0 THEN {fill} ELSE {q(x)} END"))
     return out
 
 

@@ -16,17 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabinlens.functions.exprs import c
+from cabinlens.functions.exprs import c, q, sql_literal
 
 
 def _long(row_df: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
-    """Reshape one wide row ``<field>__<i>`` into one row per column name."""
-    structs = [
-        F.struct(F.lit(x).alias("column"), *[F.col(f"{f}__{i}").alias(f) for f in fields])
+    """Reshape one wide row ``<field>__<i>`` into one row per column name
+    (one ``inline`` generator, built as SQL text)."""
+    structs = ", ".join(
+        "named_struct('column', " + sql_literal(x) + ", "
+        + ", ".join(f"'{f}', CAST({q(f'{f}__{i}')} AS {t})" for f, t in fields.items()) + ")"
         for i, x in enumerate(names)
-    ]
-    out = row_df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-    return out.select("column", *[F.col(f).cast(t).alias(f) for f, t in fields.items()])
+    )
+    return row_df.selectExpr(f"inline(array({structs}))")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -37,7 +38,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def table_info(df: DataFrame) -> DataFrame:
     """``(position, column, type, non_null)``."""
     cols = df.columns
-    counts = df.agg(*[F.count(c(x)).alias(f"non_null__{i}") for i, x in enumerate(cols)])
+    counts = df.agg(*[F.expr(f"count({q(x)})").alias(f"non_null__{i}") for i, x in enumerate(cols)])
     out = _long(counts, cols, {"non_null": "long"})
     types = df.sparkSession.createDataFrame(
         [(i, x, t) for i, (x, t) in enumerate(df.dtypes)], "position int, column string, type string"
@@ -47,28 +48,21 @@ def table_info(df: DataFrame) -> DataFrame:
 
 # -- G2 / G5 ----------------------------------------------------------------
 def _moments_aggs(x: str, i: int, approx: bool) -> list[Column]:
-    col = c(x).cast("double")
-    q = (F.percentile_approx(col, [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    return [
-        F.count(col).alias(f"count__{i}"),
-        F.avg(col).alias(f"mean__{i}"),
-        F.stddev_samp(col).alias(f"std__{i}"),
-        F.min(col).alias(f"min__{i}"),
-        F.max(col).alias(f"max__{i}"),
-        q.alias(f"q__{i}"),
-        F.skewness(col).alias(f"g1__{i}"),
-        F.kurtosis(col).alias(f"g2__{i}"),
-    ]
+    v = f"CAST({q(x)} AS DOUBLE)"
+    qs = (f"percentile_approx({v}, array(0.25D, 0.5D, 0.75D), 10000)" if approx
+          else f"percentile({v}, array(0.25D, 0.5D, 0.75D))")
+    texts = {
+        "count": f"count({v})", "mean": f"avg({v})", "std": f"stddev_samp({v})", "min": f"min({v})",
+        "max": f"max({v})", "q": qs, "g1": f"skewness({v})", "g2": f"kurtosis({v})",
+    }
+    return [F.expr(t).alias(f"{k}__{i}") for k, t in texts.items()]
 
 
 def _wide_stats(df: DataFrame, cols: Sequence[str], approx: bool) -> DataFrame:
     aggs = [a for i, x in enumerate(cols) for a in _moments_aggs(x, i, approx)]
     row = df.agg(*aggs)
-    exprs = []
-    for i in range(len(cols)):
-        exprs += [F.col(f"q__{i}")[j].alias(f"q{p}__{i}") for j, p in enumerate((25, 50, 75))]
-    return row.select("*", *exprs)
+    exprs = [f"q__{i}[{j}] AS q{p}__{i}" for i in range(len(cols)) for j, p in enumerate((25, 50, 75))]
+    return row.selectExpr("*", *exprs)
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
@@ -109,12 +103,9 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
 
 # -- G4 ---------------------------------------------------------------------
 def _unpivot(df: DataFrame, cols: Sequence[str], value_type: str = "double", extra: Sequence[str] = ()) -> DataFrame:
-    """Long form ``(feature, value)``: one generator per row, no join."""
-    return df.select(
-        *[c(x) for x in extra],
-        F.explode(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).cast(value_type).alias("value"))
-                            for x in cols])).alias("kv"),
-    ).select(*[c(x) for x in extra], "kv.feature", "kv.value")
+    """Long form ``(feature, value)``: one ``stack`` generator per row, no join."""
+    pairs = ", ".join(f"{sql_literal(x)}, CAST({q(x)} AS {value_type})" for x in cols)
+    return df.selectExpr(*[q(x) for x in extra], f"stack({len(cols)}, {pairs}) AS (feature, value)")
 
 
 def survey_report(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -127,9 +118,9 @@ def survey_report(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFr
     aggs = []
     for i, x in enumerate(cols):
         aggs += [
-            F.round(F.avg(c(x)), 2).alias(f"mean__{i}"),
-            F.percentile(c(x), 0.5).alias(f"median__{i}"),
-            F.mode(c(x), True).alias(f"mode__{i}"),
+            F.expr(f"round(avg({q(x)}), 2)").alias(f"mean__{i}"),
+            F.expr(f"percentile({q(x)}, 0.5D)").alias(f"median__{i}"),
+            F.expr(f"mode({q(x)}, true)").alias(f"mode__{i}"),
         ]
     stats = _long(df.agg(*aggs), cols, {"mean": "double", "median": "double", "mode": "int"})
     return counts, stats
@@ -209,7 +200,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     p = len(cols)
     means_row = df.agg(*[F.avg(c(x).cast("double")).alias(f"m{i}") for i, x in enumerate(cols)]).first()
     shift = np.array([means_row[f"m{i}"] or 0.0 for i in range(p)], dtype="float64")
-    narrow = df.select(*[c(x).cast("double").alias(f"x{i}") for i, x in enumerate(cols)])
+    narrow = df.selectExpr(*[f"CAST({q(x)} AS DOUBLE) AS x{i}" for i, x in enumerate(cols)])
     names = [f"x{i}" for i in range(p)]
 
     def partial(batches):
@@ -311,14 +302,12 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False) -> int:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    aggs = []
-    for i, x in enumerate(cols):
-        aggs.append((F.count_distinct(c(x)) + F.coalesce(F.max(c(x).isNull().cast("int")), F.lit(0)))
-                    .alias(f"distinct__{i}"))
+    aggs = [F.expr(f"count(DISTINCT {q(x)}) + max(CASE WHEN {q(x)} IS NULL THEN 1 ELSE 0 END)").alias(f"distinct__{i}")
+            for i, x in enumerate(cols)]
     return _long(df.agg(*aggs), cols, {"distinct": "long"})
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent non-NULL value per column (lowest on ties), as double."""
-    aggs = [F.mode(c(x), True).cast("double").alias(f"mode__{i}") for i, x in enumerate(cols)]
+    aggs = [F.expr(f"CAST(mode({q(x)}, true) AS DOUBLE)").alias(f"mode__{i}") for i, x in enumerate(cols)]
     return _long(df.agg(*aggs), cols, {"mode": "double"})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabinlens import schema as S
-from cabinlens.functions.exprs import c, cut as cut_expr
+from cabinlens.functions.exprs import c, cut as cut_expr, q
 from cabinlens.operators import derive as D
 from cabinlens.operators import encode as E
 from cabinlens.operators import missing as M
@@ -45,9 +45,9 @@ def prepare(train_raw: DataFrame, test_raw: DataFrame, strategy: str = "none") -
 def add_bins(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "Age_bins": cut_expr(c("Age"), *S.AGE_BINS),
-            "Flight_Distance_bins": cut_expr(c("Flight_Distance"), *S.DISTANCE_BINS),
-            "Flight_Delay_Difference": cut_expr(c("Flight_Delay_Difference_Minutes"), *S.DELAY_DIFF_BINS),
+            "Age_bins": cut_expr("Age", *S.AGE_BINS),
+            "Flight_Distance_bins": cut_expr("Flight_Distance", *S.DISTANCE_BINS),
+            "Flight_Delay_Difference": cut_expr("Flight_Delay_Difference_Minutes", *S.DELAY_DIFF_BINS),
         }
     )
 
@@ -60,8 +60,8 @@ def features_full(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     out = D.delay_flag(df)
     out = out.withColumns(
         {
-            "Total_Delay_Minutes": c("Departure_Delay_in_Minutes") + c("Arrival_Delay_in_Minutes"),
-            "Flight_Delay_Difference_Minutes": c("Arrival_Delay_in_Minutes") - c("Departure_Delay_in_Minutes"),
+            "Total_Delay_Minutes": F.expr("Departure_Delay_in_Minutes + Arrival_Delay_in_Minutes"),
+            "Flight_Delay_Difference_Minutes": F.expr("Arrival_Delay_in_Minutes - Departure_Delay_in_Minutes"),
         }
     )
     out = add_bins(out)
@@ -69,18 +69,17 @@ def features_full(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     base = out if fit_on is None else features_prefix(fit_on)
     out = E.FrequencyEncoder.fit(base, FREQ_COLUMNS).transform(out)
     out = E.OneHot.fit(base, FULL_ONEHOT).transform(out)
-    out = out.withColumns({f"{a}_x_{b}": c(a) * c(b) for a, b in S.INTERACTIONS})
-    out = out.withColumns(
-        {name: sum((F.coalesce(c(x), F.lit(0)) for x in cols), F.lit(0)) for name, cols in S.SCORE_SUMS}
-    )
-    out = out.withColumns({name: c(a) - c(b) for name, a, b in S.CONSISTENCY_DIFFS})
-    return out
+    # SQL text: one planner call per new column
+    new = {f"{a}_x_{b}": f"{q(a)} * {q(b)}" for a, b in S.INTERACTIONS}
+    new.update({name: " + ".join(f"COALESCE({q(x)}, 0)" for x in cols) for name, cols in S.SCORE_SUMS})
+    new.update({name: f"{q(a)} - {q(b)}" for name, a, b in S.CONSISTENCY_DIFFS})
+    return out.withColumns({k: F.expr(v) for k, v in new.items()})
 
 
 def features_prefix(df: DataFrame) -> DataFrame:
     """The part of ``features_full`` that precedes the fitted encoders."""
     out = D.delay_flag(df).withColumn(
-        "Flight_Delay_Difference_Minutes", c("Arrival_Delay_in_Minutes") - c("Departure_Delay_in_Minutes")
+        "Flight_Delay_Difference_Minutes", F.expr("Arrival_Delay_in_Minutes - Departure_Delay_in_Minutes")
     )
     return add_bins(out)
 

@@ -51,21 +51,21 @@ def notebook_xy(spark, sf):
 @register("logistic_baseline_scores")
 def logistic_baseline_scores(spark, sf):
     xy_train, xy_test, _ = notebook_xy(spark, sf)
-    model = J.logistic(n_rows=xy_train.count()).fit(xy_train)
+    model = J.fit(J.logistic(n_rows=xy_train.count()), xy_train)
     return finish(J.score(model, xy_test))
 
 
 @register("forest_scores")
 def forest_scores(spark, sf):
     xy_train, xy_test, _ = tree_xy(spark, sf)
-    model = J.forest(FOREST_DEFAULTS).fit(xy_train)
+    model = J.fit(J.forest(FOREST_DEFAULTS), xy_train)
     return finish(J.score(model, xy_test))
 
 
 @register("boosted_trees_scores")
 def boosted_trees_scores(spark, sf):
     xy_train, xy_test, _ = tree_xy(spark, sf)
-    model = J.boosted_trees(BOOSTED_DEFAULTS).fit(xy_train)
+    model = J.fit(J.boosted_trees(BOOSTED_DEFAULTS), xy_train)
     return finish(J.score(model, xy_test, threshold=0.5))
 
 
@@ -76,14 +76,14 @@ def network_scores(spark, sf):
     te = FE.features_nn(test_frame(spark, sf), fit_on=train)
     xy_train, names = split_xy(tr, sort=True)
     xy_test, _ = split_xy(te, sort=True)
-    model = J.mlp(len(names), hidden=(32, 16), max_iter=60).fit(xy_train)
+    model = J.fit(J.mlp(len(names), hidden=(32, 16), max_iter=60), xy_train)
     return finish(J.score(model, xy_test, threshold=0.5, strict=True))
 
 
 @register("feature_importance")
 def feature_importance(spark, sf):
     xy_train, _, names = tree_xy(spark, sf)
-    model = J.boosted_trees(BOOSTED_DEFAULTS).fit(xy_train)
+    model = J.fit(J.boosted_trees(BOOSTED_DEFAULTS), xy_train)
     return finish(J.feature_importance(model, names, spark))
 
 
@@ -108,11 +108,13 @@ def voting_ensemble_scores(spark, sf):
     te = keep_features(FE.features_full(test_frame(spark, sf), fit_on=train), S.BEST_FEATURES)
     xy_train, _ = split_xy(tr)
     xy_test, _ = split_xy(te)
+    cached = xy_train.persist()
     models = [
-        J.boosted_trees(BOOSTED_DEFAULTS).fit(xy_train),
-        J.forest(FOREST_DEFAULTS).fit(xy_train),
-        J.boosted_trees({**BOOSTED_DEFAULTS, "max_depth": 4}, seed=7).fit(xy_train),
+        J.boosted_trees(BOOSTED_DEFAULTS).fit(cached),
+        J.forest(FOREST_DEFAULTS).fit(cached),
+        J.boosted_trees({**BOOSTED_DEFAULTS, "max_depth": 4}, seed=7).fit(cached),
     ]
+    cached.unpersist()
     scored = xy_test.select("id")
     for i, m in enumerate(models):
         scored = scored.join(J.score(m, xy_test).select("id", F.col("prediction").alias(f"m{i}")), "id")

@@ -60,9 +60,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Parallelism floor: a scan with fewer splits than the cluster has cores
+    (one small file, one row group) is hash-partitioned on ``key`` into
+    ``spark.sql.shuffle.partitions`` parts, so joins on the key downstream
+    find it already partitioned.  A large, already split input is left as is."""
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df
+
+
 def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-header survey table (``train.csv`` + ``test.csv`` in one frame)."""
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     text = spark_text(PASSENGERS_SQL).replace("FROM orders", "FROM {orders}")
     return spark.sql(text, orders=orders)
 
