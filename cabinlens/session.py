@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder (HDFS/S3/DBFS) for this cluster")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="cabinlens-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, conf_dir) if _settable(spark) else None
