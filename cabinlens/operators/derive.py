@@ -97,12 +97,13 @@ class QuantileBins:
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], q: int = 4) -> "QuantileBins":
+        from cabinlens.functions.stats import quantiles
+
         probs = [i / q for i in range(q + 1)]
-        row = df.agg(*[F.percentile(c(x), F.array(*[F.lit(p) for p in probs])).alias(f"q{i}")
-                       for i, x in enumerate(cols)]).first()
+        found = quantiles(df, cols, probs)
         edges = {}
-        for i, x in enumerate(cols):
-            e = [float(v) for v in row[f"q{i}"]]
+        for x in cols:
+            e = [float(v) for v in found[x]]
             if len(set(e)) != len(e):
                 raise ValueError(f"bin edges of {x} are not unique: {e}")
             edges[x] = e

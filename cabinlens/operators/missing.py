@@ -23,8 +23,9 @@ def fill_from(df: DataFrame, target: str = "Arrival_Delay_in_Minutes",
 # -- B2 / G12 ---------------------------------------------------------------
 def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
     """Most frequent non-NULL value per column, the lowest on ties (one pass)."""
-    row = df.agg(*[F.mode(c(x), True).alias(f"m{i}") for i, x in enumerate(cols)]).first()
-    return {x: row[f"m{i}"] for i, x in enumerate(cols)}
+    from cabinlens.functions.stats import modes
+
+    return modes(df, cols)
 
 
 @dataclass
@@ -63,16 +64,18 @@ class ImputeStat:
 
     @classmethod
     def fit(cls, train: DataFrame, cols: Sequence[str], strategy: str = "mode", missing: float = 0) -> "ImputeStat":
+        from cabinlens.functions.stats import modes, quantiles
+
         if strategy == "mean":
-            aggs = [F.avg(c(x)) for x in cols]
+            row = train.agg(*[F.avg(c(x)).alias(f"s{i}") for i, x in enumerate(cols)]).first()
+            values = {x: row[f"s{i}"] for i, x in enumerate(cols)}
         elif strategy == "median":
-            aggs = [F.percentile(c(x), 0.5) for x in cols]
+            values = {x: v[0] for x, v in quantiles(train, cols, [0.5]).items()}
         elif strategy == "mode":
-            aggs = [F.mode(c(x), True) for x in cols]
+            values = modes(train, cols)
         else:
             raise ValueError(f"Unknown strategy: {strategy}")
-        row = train.agg(*[a.alias(f"s{i}") for i, a in enumerate(aggs)]).first()
-        return cls({x: float(row[f"s{i}"]) for i, x in enumerate(cols)}, missing)
+        return cls({x: float(v) for x, v in values.items()}, missing)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns(

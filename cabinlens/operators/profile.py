@@ -47,21 +47,28 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 # -- G2 / G5 ----------------------------------------------------------------
-def _moments_aggs(x: str, i: int, approx: bool) -> list[Column]:
+def _moments_aggs(x: str, i: int) -> list[Column]:
     v = f"CAST({q(x)} AS DOUBLE)"
-    qs = (f"percentile_approx({v}, array(0.25D, 0.5D, 0.75D), 10000)" if approx
-          else f"percentile({v}, array(0.25D, 0.5D, 0.75D))")
     texts = {
         "count": f"count({v})", "mean": f"avg({v})", "std": f"stddev_samp({v})", "min": f"min({v})",
-        "max": f"max({v})", "q": qs, "g1": f"skewness({v})", "g2": f"kurtosis({v})",
+        "max": f"max({v})", "g1": f"skewness({v})", "g2": f"kurtosis({v})",
     }
     return [F.expr(t).alias(f"{k}__{i}") for k, t in texts.items()]
 
 
 def _wide_stats(df: DataFrame, cols: Sequence[str], approx: bool) -> DataFrame:
-    aggs = [a for i, x in enumerate(cols) for a in _moments_aggs(x, i, approx)]
+    """One wide row of moments; quartiles come from ``stats.quantiles`` (built-in
+    exact percentile for bounded domains, a distributed exact path otherwise)."""
+    from cabinlens.functions.stats import quantiles
+
+    aggs = [a for i, x in enumerate(cols) for a in _moments_aggs(x, i)]
     row = df.agg(*aggs)
-    exprs = [f"q__{i}[{j}] AS q{p}__{i}" for i in range(len(cols)) for j, p in enumerate((25, 50, 75))]
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
+    exprs = []
+    for i, x in enumerate(cols):
+        for j, p in enumerate((25, 50, 75)):
+            v = qs[x][j]
+            exprs.append(f"{'CAST(NULL AS DOUBLE)' if v is None else repr(float(v)) + 'D'} AS q{p}__{i}")
     return row.selectExpr("*", *exprs)
 
 
@@ -115,14 +122,16 @@ def survey_report(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFr
         .groupBy("feature", "value").agg(F.count("*").alias("count"))
         .withColumnRenamed("feature", "column")
     )
-    aggs = []
+    from cabinlens.functions.stats import modes as mode_of, quantiles
+
+    med = quantiles(df, cols, [0.5])
+    mod = mode_of(df, cols)
+    aggs = [F.expr(f"round(avg({q(x)}), 2)").alias(f"mean__{i}") for i, x in enumerate(cols)]
+    lits = []
     for i, x in enumerate(cols):
-        aggs += [
-            F.expr(f"round(avg({q(x)}), 2)").alias(f"mean__{i}"),
-            F.expr(f"percentile({q(x)}, 0.5D)").alias(f"median__{i}"),
-            F.expr(f"mode({q(x)}, true)").alias(f"mode__{i}"),
-        ]
-    stats = _long(df.agg(*aggs), cols, {"mean": "double", "median": "double", "mode": "int"})
+        lits.append(f"{sql_literal(None if med[x][0] is None else float(med[x][0]))} AS median__{i}")
+        lits.append(f"{sql_literal(mod[x])} AS mode__{i}")
+    stats = _long(df.agg(*aggs).selectExpr("*", *lits), cols, {"mean": "double", "median": "double", "mode": "int"})
     return counts, stats
 
 
@@ -309,5 +318,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent non-NULL value per column (lowest on ties), as double."""
-    aggs = [F.expr(f"CAST(mode({q(x)}, true) AS DOUBLE)").alias(f"mode__{i}") for i, x in enumerate(cols)]
-    return _long(df.agg(*aggs), cols, {"mode": "double"})
+    from cabinlens.functions.stats import modes as mode_of
+
+    found = mode_of(df, cols)
+    rows = [(x, None if found[x] is None else float(found[x])) for x in cols]
+    return df.sparkSession.createDataFrame(rows, "column string, mode double")

@@ -78,3 +78,17 @@ def test_scan_prunes_columns(spark, sf):
     df = FX.passengers(spark, sf).select("id", "Age")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_distributed_quantiles_and_modes_match_builtin(spark, sf):
+    from cabinlens.functions import stats
+
+    df = train_frame(spark, sf)
+    cols = ["id", "Age", "Arrival_Delay_in_Minutes", "Online_Boarding"]
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    small = stats.quantiles(df, cols, probs, small=10**9)     # built-in percentile
+    big = stats.quantiles(df, cols, probs, small=0)           # distributed exact path
+    for x in cols:
+        assert big[x] == pytest.approx(small[x], abs=1e-9)
+    assert stats.modes(df, cols, small=10**9) == stats.modes(df, cols, small=0)
+    assert stats.modes(df, ["Class"], small=0) == stats.modes(df, ["Class"], small=10**9)
