@@ -223,17 +223,33 @@ def survey_dummies(df: DataFrame, cols: Sequence[str] | None = None, domain: Seq
 # -- C7 ---------------------------------------------------------------------
 @dataclass
 class FrequencyEncoder:
-    """``<col>_freq`` = share of the value among non-NULL rows; NULL stays NULL."""
+    """``<col>_freq`` = share of the value among non-NULL rows; NULL stays NULL.
+
+    Share tables of bounded size become literal maps (a projection); a column
+    with more distinct values than the bound keeps its share table as a
+    DataFrame and is joined (shuffle join, AQE may broadcast it at run time).
+    """
 
     shares: dict[str, dict] = field(default_factory=dict)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "FrequencyEncoder":
+        from cabinlens.functions.stats import approx_cardinalities
+
+        card = approx_cardinalities(df, cols)
+        small = [x for x in cols if card[x] <= MAX_CATEGORIES // 2]
+        large = [x for x in cols if x not in small]
         shares = {}
-        for x, counts in value_frequencies(df, cols).items():
+        for x, counts in value_frequencies(df, small).items() if small else []:
             total = sum(counts.values())
             shares[x] = {v: n / total for v, n in counts.items()}
-        return cls(shares)
+        tables = {}
+        for x in large:
+            counts = df.where(c(x).isNotNull()).groupBy(c(x).alias(x)).agg(F.count("*").alias("__n"))
+            total = counts.agg(F.sum("__n")).first()[0]
+            tables[x] = counts.select(c(x), (F.col("__n") / F.lit(float(total))).alias(f"{x}_freq"))
+        return cls(shares, tables)
 
     def transform(self, df: DataFrame) -> DataFrame:
         exprs = {}
@@ -243,7 +259,10 @@ class FrequencyEncoder:
                 continue
             m = F.create_map(*[t for k, v in table.items() for t in (F.lit(k), F.lit(float(v)))])
             exprs[f"{x}_freq"] = F.when(c(x).isNotNull(), F.try_element_at(m, c(x)))
-        return df.withColumns(exprs)
+        out = df.withColumns(exprs) if exprs else df
+        for x, table in self.tables.items():
+            out = out.join(table, x, "left")
+        return out
 
 
 def frequency_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -92,3 +92,18 @@ def test_distributed_quantiles_and_modes_match_builtin(spark, sf):
         assert big[x] == pytest.approx(small[x], abs=1e-9)
     assert stats.modes(df, cols, small=10**9) == stats.modes(df, cols, small=0)
     assert stats.modes(df, ["Class"], small=0) == stats.modes(df, ["Class"], small=10**9)
+
+
+def test_frequency_encoder_join_path_matches_literal_path(spark, sf):
+    from cabinlens.operators import encode as E2
+
+    df = train_frame(spark, sf).select("id", "Class", "Age")
+    lit = E2.FrequencyEncoder.fit(df, ["Class", "Age"])
+    assert not lit.tables
+    joined = E2.FrequencyEncoder({}, {
+        x: df.groupBy(x).count().select(x, (F.col("count") / df.count()).alias(f"{x}_freq")) for x in ["Class", "Age"]
+    })
+    a = sorted(lit.transform(df).collect())
+    b = sorted(joined.transform(df).select(*lit.transform(df).columns).collect())
+    assert [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in a] == \
+           [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in b]
