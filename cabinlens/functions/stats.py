@@ -135,8 +135,13 @@ def distributed_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
     return {x: out.get(x) for x in cols}
 
 
-def modes(df: DataFrame, cols: Sequence[str], small: int = SMALL_DOMAIN) -> dict[str, object]:
+def modes(df: DataFrame, cols: Sequence[str], small: int | None = None) -> dict[str, object]:
+    """Modes of several columns.  By default always the distributed path: one
+    job, bounded memory for any cardinality, no separate cardinality pass.
+    ``small`` switches on the built-in ``mode`` for columns up to that size."""
     cols = list(cols)
+    if small is None:
+        return distributed_modes(df, cols)
     low, high = _split(df, cols, small)
     out: dict[str, object] = {}
     if low:
