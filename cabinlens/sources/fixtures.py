@@ -62,12 +62,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Parallelism floor: a scan with fewer splits than the cluster has cores
-    (one small file, one row group) is hash-partitioned on ``key`` into
-    ``spark.sql.shuffle.partitions`` parts, so joins on the key downstream
-    find it already partitioned.  A large, already split input is left as is."""
-    spark = df.sparkSession
-    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    (one small file, one row group) is hash-partitioned on ``key`` into one
+    part per core.  A large, already split input is left as is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
     return df
 
 
