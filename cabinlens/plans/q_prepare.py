@@ -601,3 +601,35 @@ def knn_nonresponse(spark, sf):
 
     model = KnnImputer.fit(train_frame(spark, sf), S.SURVEY, k=5)
     return finish(model.transform(test_frame(spark, sf)).select("id", *[c(x) for x in S.SURVEY]))
+
+
+# ---------------------------------------------------------------------------
+# A1 + A3: the train file as the reference receives it (headered CSV with
+# blanks for missing delays), written from the given table and read back
+# with the explicit schema.
+
+
+@register(
+    "csv_roundtrip_train",
+    base() + "SELECT * REPLACE (" + r6("Arrival_Delay_in_Minutes") + " AS Arrival_Delay_in_Minutes)"
+    " FROM (SELECT * FROM norm WHERE id % 4 <> 0)",
+)
+def csv_roundtrip_train(spark, sf):
+    import uuid
+
+    from cabinlens.session import scratch_path
+    from cabinlens.sources import io as IO
+
+    path = scratch_path(spark, f"train-csv-{uuid.uuid4().hex}")
+    IO.write_table(FX.raw_train(spark, sf), path)
+    return finish(IO.normalize_columns(IO.read_survey(spark, path, IO.survey_schema())))
+
+
+# Network input with columns in alphabetical order (id and label kept)
+
+
+@register("split_xy_sorted", _NN_SQL)
+def split_xy_sorted(spark, sf):
+    out, cols = SEL.split_xy(FE.features_nn(train_frame(spark, sf)), sort=True, vector=False)
+    assert cols == sorted(cols)
+    return finish(out)
