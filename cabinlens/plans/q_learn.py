@@ -140,3 +140,17 @@ def feature_subset_trials(spark, sf):
                           *[n for n, _, _ in S.CONSISTENCY_DIFFS]]]
     return finish(L.feature_subset_search(lambda: J.boosted_trees({"n_estimators": 10, "max_depth": 4}), wide,
                                           on_off, n=3, seed=393, k=3))
+
+
+@register("adversarial_split_learned")
+def adversarial_split_learned(spark, sf):
+    """Train rows most like test become validation (classifier on the stacked rows)."""
+    drop = ["Gender", "Customer_Type", "Type_of_Travel", "Class"]
+    train = train_frame(spark, sf).drop(*drop)
+    test = test_frame(spark, sf).drop(*drop)
+    training, validation, auc = H.adversarial_split(train, test, 0.2)
+    return (
+        training.select("id", F.lit("training").alias("part"))
+        .unionByName(validation.select("id", F.lit("validation").alias("part")))
+        .withColumn("adversarial_auc", F.lit(float(auc)))
+    )

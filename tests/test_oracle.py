@@ -37,6 +37,7 @@ def test_every_query_has_oracle_or_is_a_learner():
     allowed = {  # learners, search and the quadratic KNN
         "knn_nonresponse", "logistic_baseline_scores", "forest_scores", "boosted_trees_scores", "network_scores",
         "feature_importance", "cv_accuracy", "voting_ensemble_scores", "random_search_trials", "feature_subset_trials",
+        "adversarial_split_learned",
     }
     assert rows_only <= allowed, rows_only - allowed
     assert set(ORACLE) <= set(QUERIES)
