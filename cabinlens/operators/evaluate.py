@@ -44,6 +44,7 @@ def confusion_matrix(df: DataFrame, y: str = "y", pred: str = "prediction", labe
     """Rows true, columns predicted, zeros kept: long ``(actual, predicted, count)``."""
     counts = df.groupBy(c(y).cast("int").alias("actual"), c(pred).cast("int").alias("predicted")).count()
     grid = df.sparkSession.createDataFrame([(a, b) for a in labels for b in labels], "actual int, predicted int")
+    # counts has one row per (actual, predicted) pair: at most len(labels)^2 rows
     return grid.join(F.broadcast(counts), ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")
     )
@@ -163,7 +164,7 @@ def threshold_search(df: DataFrame, candidates: Sequence[float], y: str = "y", p
     # threshold cands[j0] predicts 1 for buckets > j0
     per_fold = (
         grid.join(latest, ["fold", "j0"], "left")
-        .join(F.broadcast(thresholds), "j0")
+        .join(F.broadcast(thresholds), "j0")  # one row per candidate
         .select("fold", "threshold",
                 ((F.col("P") - F.coalesce(F.col("s.cpos"), F.lit(0)) + F.coalesce(F.col("s.cneg"), F.lit(0)))
                  / F.col("n")).alias("accuracy"))

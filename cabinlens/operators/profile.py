@@ -246,6 +246,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     r = F.when((n > 1) & (va > 0) & (vb > 0), cov / F.sqrt(va * vb))
     lookup = df.sparkSession.createDataFrame([(i, x) for i, x in enumerate(cols)], "i int, name string")
     named = sums.select("a", "b", r.alias("r"))
+    # name lookups have one row per feature (p rows): bounded broadcasts
     la = F.broadcast(lookup.withColumnRenamed("i", "a").withColumnRenamed("name", "feature_a"))
     lb = F.broadcast(lookup.withColumnRenamed("i", "b").withColumnRenamed("name", "feature_b"))
     return named.join(la, "a").join(lb, "b").select("feature_a", "feature_b", "r")

@@ -24,18 +24,6 @@ def r6(expr: str) -> str:
 
 NORMALIZED = ",\n  ".join(f"{q(x)} AS {q(S.normalize_name(x))}" for x in S.RAW_COLUMNS)
 
-# prepared train/test (names normalised, arrival filled, label 0/1)
-PREPARED = ",\n  ".join(
-    [
-        *(
-            f"{q(S.normalize_name(x))}"
-            for x in S.RAW_COLUMNS
-            if x not in ("Arrival Delay in Minutes", "Satisfaction Rating")
-        ),
-    ]
-)
-
-
 def base(*ctes: str) -> str:
     """``WITH passengers AS (...), norm, prep, train, test`` plus extra CTEs."""
     parts = [

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cabinlens import schema as S
-from cabinlens.functions.exprs import c
 from cabinlens.operators import evaluate as K
 from cabinlens.operators import select as SEL
 from cabinlens.operators import split as H
@@ -313,5 +312,3 @@ def pseudo_labels(spark, sf):
     )
     return H.pseudo_label(train, scored_test, "p_c", 0.9).select("id", S.TARGET, "source")
 
-
-_ = c  # re-exported helper kept for query authors
