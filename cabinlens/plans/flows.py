@@ -8,7 +8,7 @@ values or DataFrames.  Nothing is collected except metrics and fitted models.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +49,11 @@ def _write_submission(spark: SparkSession, sample_path: str, preds: DataFrame, o
 
 def train_and_submit(spark: SparkSession, train_path: str, test_path: str, sample_path: str, out_dir: str,
                      algorithm: str = "xgb", params: Mapping | None = None, ignore=(), threshold: float = 0.5,
-                     folds: int = 5, seed: int = 4322) -> dict:
-    """Tree-model path: features, fit, CV accuracy, train accuracy, importances,
-    out-of-fold error rows, submission."""
+                     folds: int = 5, seed: int = 4322, repeats: int = 0,
+                     tune_threshold: Sequence[float] | None = None) -> dict:
+    """Tree-model path: features, fit, CV accuracy (stratified folds, or
+    ``repeats`` x shuffled folds), train accuracy, importances, out-of-fold
+    error rows, optional threshold sweep over out-of-fold scores, submission."""
     train, test = load(spark, train_path, test_path)
     tr = FE.features_tree(train)
     te = FE.features_tree(test, fit_on=train)
@@ -60,7 +62,20 @@ def train_and_submit(spark: SparkSession, train_path: str, test_path: str, sampl
     with_folds = H.stratified_kfold(xy, S.TARGET, k=folds, seed=seed)
     estimator = _estimator(algorithm, params, ignore)
     model = J.fit(estimator, xy)
-    cv = J.cv_score(estimator, with_folds, k=folds, threshold=threshold)
+    sweep = None
+    if tune_threshold:
+        oof = J.out_of_fold(estimator, with_folds, k=folds, keep=(S.ID,))
+        sweep = K.threshold_search(oof, tune_threshold, y=S.TARGET, p="p")
+        threshold = K.best_trial(sweep, "threshold", "accuracy").first()["threshold"]
+    if repeats:
+        shuffled = H.kfold(xy, k=folds, repeats=repeats, seed=42)
+        parts = [J.cv_score(estimator, shuffled.withColumnRenamed(f"fold_{r}", "fold"), k=folds, threshold=threshold)
+                 .withColumn("repeat", F.lit(r)) for r in range(repeats)]
+        cv = parts[0]
+        for part in parts[1:]:
+            cv = cv.unionByName(part)
+    else:
+        cv = J.cv_score(estimator, with_folds, k=folds, threshold=threshold)
     scored_train = J.score(model, xy, keep=(S.ID, S.TARGET), threshold=threshold)
     train_acc = K.accuracy(scored_train, S.TARGET).first()["accuracy"]
     IO.write_table(J.feature_importance(model, names, spark), os.path.join(out_dir, "feature-importance"), sep="\t")
@@ -72,7 +87,7 @@ def train_and_submit(spark: SparkSession, train_path: str, test_path: str, sampl
     preds = J.score(model, xy_test, threshold=threshold)
     _write_submission(spark, sample_path, preds, os.path.join(out_dir, "submission"))
     return {"model": model, "cv": cv, "cv_mean": cv.agg(F.avg("accuracy")).first()[0],
-            "train_accuracy": train_acc, "report": report}
+            "train_accuracy": train_acc, "report": report, "threshold": threshold, "threshold_sweep": sweep}
 
 
 def voting_submit(spark: SparkSession, train_path: str, test_path: str, sample_path: str, out_dir: str,

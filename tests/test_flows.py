@@ -53,3 +53,12 @@ def test_profile_and_search(spark, files):
     trials = flows.feature_search(spark, files["train"], files["test"], files["out"], n=2, folds=2)
     assert trials.count() <= 2
     assert spark.read.parquet(os.path.join(files["out"], "trials")).count() == trials.count()
+
+
+def test_repeated_cv_and_threshold_tuning(spark, files):
+    res = flows.train_and_submit(spark, files["train"], files["test"], files["sample"], files["out"] + "3",
+                                 params={"n_estimators": 5, "max_depth": 3}, folds=3, repeats=2,
+                                 tune_threshold=[0.3, 0.4, 0.5, 0.6])
+    assert res["cv"].count() == 6
+    assert res["threshold"] in (0.3, 0.4, 0.5, 0.6)
+    assert res["threshold_sweep"].count() == 4
