@@ -633,3 +633,20 @@ def split_xy_sorted(spark, sf):
     out, cols = SEL.split_xy(FE.features_nn(train_frame(spark, sf)), sort=True, vector=False)
     assert cols == sorted(cols)
     return finish(out)
+
+
+# a value map as a table, looked up by key (size-checked broadcast join)
+
+
+@register(
+    "class_share_lookup",
+    base("sh AS (SELECT Class, count(*) / (SELECT count(Class) FROM train) AS share FROM train"
+         " WHERE Class IS NOT NULL GROUP BY 1)")
+    + f"SELECT test.id, test.Class, {r6('sh.share')} AS class_share FROM test LEFT JOIN sh USING (Class)",
+)
+def class_share_lookup(spark, sf):
+    from cabinlens.operators import profile as P
+
+    shares = P.value_counts(train_frame(spark, sf), "Class", normalize=True).select(
+        F.col("value").alias("Class"), F.col("share").alias("class_share"))
+    return finish(E.lookup(test_frame(spark, sf).select("id", "Class"), shares, "Class"))
