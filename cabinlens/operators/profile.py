@@ -179,18 +179,27 @@ def inner_on_value(a: DataFrame, b: DataFrame, suffixes=("_a", "_b")) -> DataFra
 def stability_index(train: DataFrame, test: DataFrame, cols: Sequence[str] | None = None,
                     outer: bool = False) -> DataFrame:
     """Per feature: sum over shared values of (p_train - p_test)^2, divided by
-    the train row count.  ``outer=True`` also counts one-sided values."""
+    the train row count.  ``outer=True`` also counts one-sided values.
+
+    Both sides are unpivoted into one stream and counted in a single
+    ``groupBy(feature, value)`` with per-side conditional counts, so values
+    align without a join; the per-feature totals and sums work on that
+    aggregated table only.
+    """
     cols = list(cols or numeric_columns(train))
     n_train = train.count()
-    a, b = value_shares(train, cols), value_shares(test, cols)
-    if outer:
-        joined = a.withColumnRenamed("share", "share_a").join(
-            b.withColumnRenamed("share", "share_b"), ["feature", "value"], "full"
-        ).fillna(0.0, ["share_a", "share_b"])
-    else:
-        joined = inner_on_value(a, b)
-    sq = (F.col("share_a") - F.col("share_b")) ** 2
-    found = joined.groupBy("feature").agg(F.sum(sq).alias("ss"))
+    both = _unpivot(train, cols).withColumn("side", F.lit(0)).unionByName(
+        _unpivot(test, cols).withColumn("side", F.lit(1)))
+    counts = both.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
+        F.sum(1 - F.col("side")).alias("na"), F.sum("side").alias("nb"))
+    w_totals = counts.groupBy("feature").agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))
+    shares = counts.join(F.broadcast(w_totals), "feature").select(  # one row per feature
+        "feature", "na", "nb",
+        F.try_divide(F.col("na"), F.col("ta")).alias("pa"), F.try_divide(F.col("nb"), F.col("tb")).alias("pb"))
+    if not outer:
+        shares = shares.where((F.col("na") > 0) & (F.col("nb") > 0))
+    sq = (F.coalesce(F.col("pa"), F.lit(0.0)) - F.coalesce(F.col("pb"), F.lit(0.0))) ** 2
+    found = shares.groupBy("feature").agg(F.sum(sq).alias("ss"))
     names = train.sparkSession.createDataFrame([(x,) for x in cols], "feature string")
     return names.join(found, "feature", "left").select(
         "feature", (F.coalesce(F.col("ss"), F.lit(0.0)) / F.lit(float(n_train))).alias("stability_index")
