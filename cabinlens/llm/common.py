@@ -111,3 +111,9 @@ def list_array(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.L
     offsets = np.zeros(len(sizes) + 1, np.int32)
     np.cumsum(sizes, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+def if_small(df: DataFrame, rows: int, bound: int) -> DataFrame:
+    """Broadcast hint for a table whose counted ``rows`` are within ``bound``;
+    a larger one is left to Spark's shuffled join."""
+    return F.broadcast(df) if rows <= bound else df

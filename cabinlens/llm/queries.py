@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabinlens.llm import decontaminate
+from cabinlens.llm import decontaminate, substring_dedup
 from cabinlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,26 @@ FROM wd d LEFT JOIN covered USING (doc_id) LEFT JOIN of_doc USING (doc_id)
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
+
+
+OP9_SQL = r"""
+WITH wd AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM wd, unnest(range(1, len(w) - 48)) AS u(i) WHERE len(w) >= 50),
+firsts AS (SELECT h, min(doc_id) AS f FROM win GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, p FROM win JOIN firsts USING (h), unnest(range(i, i + 50)) AS u(p) WHERE doc_id > f),
+cut AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT wd.doc_id, len(w) AS n, coalesce(len(ps), 0) AS c,
+    CASE WHEN ps IS NULL THEN w ELSE (SELECT list(w[q] ORDER BY q) FROM unnest(range(1, len(w) + 1)) AS u(q) WHERE NOT list_contains(ps, q)) END AS k
+  FROM wd LEFT JOIN cut USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(c AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256 FROM kept
+"""
+
+
+@query("op9_substring_dedup", OP9_SQL)
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
