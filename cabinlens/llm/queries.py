@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabinlens.llm import decontaminate, substring_dedup
+from cabinlens.llm import dart_minhash, decontaminate, substring_dedup
 from cabinlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(c AS BIGINT) AS n_removed,
 @query("op9_substring_dedup", OP9_SQL)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query("op6_minhash_near_dedup")
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
