@@ -6,12 +6,13 @@ the ``k``-word runs inside it, with ``k`` words and ``span - k + 1`` runs per
 window, so equal windows always keep the same fingerprint: every shared span
 of ``span`` words is found.  Consecutive windows with one fingerprint are one
 row (about 2 of 7 words keep a row at span 10).  Document fingerprints are
-joined with the benchmark's, each hit is extended to the windows it stands for
-and these are compared word by word with the benchmark's windows.
+joined with the benchmark's; in the documents with a hit, each hit is extended
+to the windows it stands for and these are compared word by word with the
+benchmark's windows.
 
-The join is broadcast only when the benchmark has at most
-``BROADCAST_WINDOWS`` windows (counted first); beyond that the same join is
-left to Spark's sort-merge join, whose hot keys AQE splits.
+A join is broadcast only when the counted side is within a bound
+(``BROADCAST_WINDOWS``, ``BROADCAST_KEYS``); beyond it the same join is left to
+Spark's sort-merge join, whose hot keys AQE splits.
 
 Defined cases: null text and text without words have no words and no hits;
 null ``doc_id`` is kept and returned as null; repeated rows are returned as
@@ -24,63 +25,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabinlens.llm.common import if_small, materialize
+
 #: Fixed by the contract of the query: what separates words after A-Z became a-z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Most benchmark windows (some 150 bytes each) that are sent to every executor.
 BROADCAST_WINDOWS = 100_000
+#: Most documents with a hit whose keys are broadcast to skip a shuffle of all texts.
+BROADCAST_KEYS = 1_000_000
+
+
+WORDS = ("coalesce(array_remove(split(translate({text}, '" + UPPER + "', '" + LOWER + "'), r'" + SEPARATOR + "'), ''), "
+         "CAST(array() AS array<string>))")
 
 
-def words(text: Column) -> Column:
-    """Words of a text; null has none."""
-    parts = F.array_remove(F.split(F.translate(text, UPPER, LOWER), SEPARATOR), "")
-    return F.coalesce(parts, F.array().cast("array<string>"))
+def words(text: str) -> Column:
+    """Words of a text column; null has none."""
+    return F.expr(WORDS.format(text=f"`{text}`"))
 
 
-def _fingerprints(w: str, n: str, span: int) -> Column:
-    """``array<struct<f, s, ctx>>``: per run of windows with one fingerprint
-    ``f``, the first window's start (0-based) and the words of the whole run."""
+def _fingerprints(span: int) -> str:
+    """SQL over the words ``w``: ``array<struct<len, f, s, e>>``, one row for each
+    run of windows with one fingerprint ``f``; the windows start at s, ..., e - 1
+    (from 0).  One-element transforms name the intermediate arrays.  Indexed
+    arguments are used throughout, as a slice copies the whole array each time."""
     k = min(5, span)
     runs = span - k + 1
-    hashes = f"transform(sequence(1, {n} - {k - 1}), i -> xxhash64(slice({w}, i, {k})))"
-    least = f"transform(sequence(1, {n} - {span - 1}), i -> array_min(slice(h, i, {runs})))"
+    words_of = ", ".join(f"w[i + {j}]" for j in range(k))
+    hashes = f"transform(sequence(0, size(w) - {k}), i -> xxhash64({words_of}))"
+    near = ", ".join(f"h[i + {j}]" for j in range(runs))
+    least = f"transform(sequence(0, size(h) - {runs}), i -> {f'least({near})' if runs > 1 else near})"
     first = "filter(sequence(0, size(m) - 1), i -> i = 0 OR m[i] <> m[i - 1])"
-    # nested one-element transforms name the intermediate arrays h, m and st
-    inner = (
-        "transform(st, (s, j) -> named_struct('f', m[s], 's', s, 'ctx', "
-        f"slice({w}, s + 1, coalesce(get(st, j + 1), size(m)) - s + {span - 1})))"
-    )
-    text = (
-        f"transform(array({hashes}), h -> transform(array({least}), m -> "
-        f"transform(array({first}), st -> {inner})[0])[0])[0]"
-    )
-    empty = "CAST(array() AS array<struct<f: bigint, s: int, ctx: array<string>>>)"
-    return F.expr(f"CASE WHEN {n} >= {span} THEN {text} ELSE {empty} END")
+    inner = (f"transform(st, (s, j) -> named_struct('len', {span}, 'f', m[s], 's', s, "
+             "'e', coalesce(get(st, j + 1), size(m))))")
+    text = (f"transform(array({hashes}), h -> transform(array({least}), m -> "
+            f"transform(array({first}), st -> {inner})[0])[0])[0]")
+    return f"CASE WHEN size(w) >= {span} THEN {text} ELSE CAST(array() AS array<{RUN}>) END"
+
+
+#: A run of windows: their length in words, fingerprint, first start, end of the starts.
+RUN = "struct<len: int, f: bigint, s: int, e: int>"
+
+
+def _windows(runs: str) -> str:
+    """SQL over ``w``: the windows of runs, each with its start, length and words."""
+    return (f"flatten(transform({runs}, r -> transform(sequence(r.s, r.e - 1), a -> named_struct('at', a, 'len', r.len, "
+            "'f', r.f, 'win', concat_ws(' ', transform(sequence(a, a + r.len - 1), q -> w[q]))))))")
 
 
 def benchmark_windows(items: DataFrame, span: int = 10, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item, len, f, win): every window of every item, ``win`` as its words
     joined by spaces."""
-    base = items.where(F.col(item_id).isNotNull()).select(
-        F.col(item_id).alias("item"), words(F.col(text)).alias("w")
-    ).withColumn("n", F.size("w")).where("n > 0")
-    parts = []
-    for length in range(1, span + 1):
-        own = base.where(F.col("n") >= span if length == span else F.col("n") == length)
-        hit = own.select("item", F.inline(_fingerprints("w", "n", length)))
-        win = hit.select("item", "f", F.explode(F.expr(
-            f"transform(sequence(1, size(ctx) - {length - 1}), i -> concat_ws(' ', slice(ctx, i, {length})))"
-        )).alias("win"))
-        parts.append(win.select("item", F.lit(length).alias("len"), "f", "win"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out.distinct()
-
-
-def _tagged(length: int):
-    return lambda x: F.struct(F.lit(length).alias("len"), x["f"].alias("f"), x["s"].alias("s"), x["ctx"].alias("ctx"))
+    base = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), words(text).alias("w")).where("size(w) > 0")
+    lens = ", ".join(f"WHEN size(w) = {n} THEN {_fingerprints(n)}" for n in range(1, span)).replace(", WHEN", " WHEN")
+    base = base.withColumn("runs", F.expr(f"CASE {lens} ELSE {_fingerprints(span)} END"))
+    wins = base.select("item", F.inline(F.expr(_windows("runs"))))
+    return wins.select("item", "len", "f", "win").distinct()
 
 
 def contamination(
@@ -89,8 +91,6 @@ def contamination(
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items (array of item ids
     as strings, sorted), contaminated."""
-    from cabinlens.llm.common import materialize
-
     wins = materialize(benchmark_windows(items, span, item_id, item_text), "benchmark")
     size = wins.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("len")).alias("lens")).first()
     small = size["n"] <= BROADCAST_WINDOWS
@@ -99,44 +99,39 @@ def contamination(
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    base = docs.select(F.col(doc_id).alias("d"), F.md5(F.coalesce(text, F.lit(""))).alias("md"),
-                       words(F.col(text)).alias("w"))
-    base = base.withColumn("n", F.size("w"))
-    marker = "array(named_struct('len', 0, 'f', xxhash64(md), 's', 0, 'ctx', CAST(array() AS array<string>)))"
-    rows = F.expr(marker)
-    for length in lens:  # ten lengths at most
-        rows = F.concat(rows, F.transform(_fingerprints("w", "n", length), _tagged(length)))
-    marks = base.select("d", "md", "n", F.inline(rows))
-
+    base = docs.select(F.col(doc_id).alias("d"), F.md5(F.coalesce(text, F.lit(""))).alias("md"), F.col(text).alias("text"))
+    # one pass over the texts: a marker row for each document (len 0, its word count as s) and its fingerprints
+    marker = f"array(CAST(named_struct('len', 0, 'f', xxhash64(text), 's', size(w), 'e', 0) AS {RUN}))"
+    parts = ", ".join([marker, *(_fingerprints(n) for n in lens)])
+    marks = base.select("d", "md", F.inline(F.expr(f"transform(array({WORDS.format(text='text')}), w -> concat({parts}))[0]")))
     known = wins.select(F.col("len").alias("k_len"), F.col("f").alias("k_f")).distinct()
     hits = marks.join(side(known), (F.col("len") == F.col("k_len")) & (F.col("f") == F.col("k_f")), "left")
-    hits = hits.where("len = 0 OR k_len IS NOT NULL").drop("k_len", "k_f")
-
-    # extend each hit to its windows and compare their words
-    spread = hits.select("d", "md", "n", "len", F.explode(F.expr(
-        "CASE WHEN len = 0 THEN array(named_struct('at', CAST(NULL AS INT), 'win', CAST(NULL AS STRING))) "
-        "ELSE transform(sequence(0, size(ctx) - len), i -> named_struct('at', s + i, "
-        "'win', concat_ws(' ', slice(ctx, i + 1, len)))) END")).alias("x")).select("*", "x.*").drop("x")
-    texts = wins.select(F.col("win").alias("k_win")).distinct()
-    exact = spread.join(side(texts), F.col("win") == F.col("k_win"), "left").where("len = 0 OR k_win IS NOT NULL")
-    per_doc = exact.groupBy("d", "md").agg(
-        F.max("n").alias("n"),
-        F.sum(F.expr("CAST(len = 0 AS INT)")).alias("copies"),
-        F.collect_set(F.when(F.col("len") > 0, F.struct("at", F.col("len").alias("len")))).alias("at"),
-        F.collect_set("k_win").alias("found"),
-    )
+    hits = hits.where("len = 0 OR k_len IS NOT NULL")
+    per_doc = materialize(hits.groupBy("d", "md").agg(
+        F.max(F.expr("IF(len = 0, s, 0)")).alias("n"), F.sum(F.expr("IF(len = 0, 1, 0)")).alias("copies"),
+        F.collect_set(F.expr("IF(len > 0, named_struct('len', len, 'f', f, 's', s, 'e', e), NULL)")).alias("runs")), "hits")
+
+    # extend each hit to its windows and compare their words with the benchmark's
+    some = per_doc.where("size(runs) > 0").select(F.col("d").alias("k_d"), F.col("md").alias("k_md"), "runs")
+    here = F.col("d").eqNullSafe(F.col("k_d")) & (F.col("md") == F.col("k_md"))
+    texts = base.join(if_small(some.drop("runs"), some.count(), BROADCAST_KEYS), here, "left_semi")
+    own = texts.dropDuplicates(["d", "md"]).join(some, here).select("d", "md", "runs", words("text").alias("w"))
+    spread = own.select("d", "md", F.inline(F.expr(_windows("runs")))).drop("f")
+    of_item = wins.select(F.col("win").alias("k_win")).distinct()
+    exact = spread.join(side(of_item), F.col("win") == F.col("k_win")).groupBy("d", "md").agg(
+        F.collect_set(F.struct("at", "len")).alias("at"), F.collect_set("win").alias("found"))
     # words covered by the union of the windows, left to right
-    per_doc = per_doc.withColumn("n_hit", F.expr(
+    exact = exact.withColumn("n_hit", F.expr(
         "aggregate(array_sort(at), named_struct('e', 0, 'c', 0), (a, x) -> named_struct("
         "'e', greatest(a.e, x.at + x.len), 'c', a.c + greatest(0, x.at + x.len - greatest(a.e, x.at)))).c"))
-
-    of_item = wins.select(F.col("win").alias("i_win"), "item").distinct()
-    named = per_doc.select("d", "md", "n", "copies", "n_hit", F.explode_outer("found").alias("win"))
-    named = named.join(side(of_item), F.col("win") == F.col("i_win"), "left")
-    out = named.groupBy("d", "md").agg(
-        F.first("n").alias("n"), F.first("copies").alias("copies"), F.first("n_hit").alias("n_hit"),
-        F.collect_set("item").alias("items"))
-    out = out.withColumn("again", F.explode(F.expr("array_repeat(0, CAST(copies AS INT))")))
+    named = exact.select("d", "md", "n_hit", F.explode("found").alias("k_win")).join(
+        side(wins.select(F.col("win").alias("i_win"), "item").distinct()), F.col("k_win") == F.col("i_win"))
+    found = named.groupBy(F.col("d").alias("k_d"), F.col("md").alias("k_md")).agg(
+        F.first("n_hit").alias("n_hit"), F.collect_set("item").alias("items"))
+
+    out = per_doc.select("d", "md", "n", F.explode(F.expr("array_repeat(0, CAST(copies AS INT))"))).join(found, here, "left")
+    out = out.withColumn("items", F.coalesce("items", F.array().cast(found.schema["items"].dataType)))
+    out = out.withColumn("n_hit", F.coalesce("n_hit", F.lit(0)))
     return out.select(
         F.col("d").alias("doc_id"), F.col("n").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
@@ -153,13 +148,7 @@ def digest(found: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, span: int = 10) -> DataFrame:
     """Documents without any benchmark window, all columns kept.  Rows are
     matched by (doc_id, text), so repeated and null ids are handled."""
-    bad = contamination_keys(docs, items, span)
-    keyed = docs.withColumn("__key", F.struct(F.col("doc_id").alias("d"), F.md5(F.coalesce("text", F.lit(""))).alias("md")))
-    return keyed.join(bad, keyed["__key"].eqNullSafe(bad["__bad"]), "left_anti").drop("__key")
-
-
-def contamination_keys(docs: DataFrame, items: DataFrame, span: int) -> DataFrame:
-    found = contamination(docs.select(F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("md")).alias("doc_id"), "text"),
-                          items, span)
-    return found.where("contaminated").select(F.struct(
-        F.col("doc_id.doc_id").alias("d"), F.col("doc_id.md").alias("md")).alias("__bad")).distinct()
+    key = F.struct(F.col("doc_id").alias("d"), F.md5(F.coalesce("text", F.lit(""))).alias("md"))
+    found = contamination(docs.select(key.alias("doc_id"), "text"), items, span).where("contaminated")
+    bad = materialize(found.select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
+    return docs.join(if_small(bad, bad.count(), BROADCAST_KEYS), key.eqNullSafe(F.col("__bad")), "left_anti")
