@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cabinlens.llm import dart_minhash, decontaminate, substring_dedup
+from cabinlens.llm import dart_minhash, decontaminate, line_dedup, substring_dedup
 from cabinlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_minhash_near_dedup")
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
