@@ -55,7 +55,7 @@ def compile_pattern(pattern: str) -> regex.Pattern:
 class Merges:
     """Rank table of the pairs of parts that join, as an open hash table."""
 
-    BITS = 20
+    BITS = 18
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks

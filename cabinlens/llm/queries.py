@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabinlens.llm import byte_bpe, dart_minhash, decontaminate, line_dedup, substring_dedup
+from cabinlens.llm import byte_bpe, dart_minhash, decontaminate, language_id, line_dedup, substring_dedup, toxicity
 from cabinlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,13 @@ def _vocabulary() -> tuple[str, str]:
 @query("op8_byte_bpe")
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), *_vocabulary())
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
