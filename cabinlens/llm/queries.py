@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabinlens.llm import byte_bpe, dart_minhash, decontaminate, language_id, line_dedup, substring_dedup, toxicity
+from cabinlens.llm import (
+    ann_forest, byte_bpe, dart_minhash, decontaminate, language_id, line_dedup, pii, substring_dedup, token_counts, toxicity,
+)
 from cabinlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +109,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(read_table(spark, sf_dir, "documents")))
+
+
+@query("op3_ann_forest")
+def op3_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.length_report(token_counts.lengths(read_table(spark, sf_dir, "documents"), *_vocabulary()))
