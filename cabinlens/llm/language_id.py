@@ -169,8 +169,10 @@ def fit(docs: DataFrame, folds: int = 5, held: int = 0, per_lang: int = 600, max
     # a bounded sample: the smallest hashes of each language
     from pyspark.sql import Window
 
-    picked = own.select("d", "lang", F.xxhash64("d", "text").alias("k")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("k", "d"))).where(F.col("r") <= per_lang)
+    picked = own.select("d", "lang", F.xxhash64("d", "text").alias("k")).withColumn("salt", F.pmod(F.col("k"), F.lit(64)))
+    for group in (["lang", "salt"], ["lang"]):  # a common language is first cut down in 64 parts
+        order = Window.partitionBy(*group).orderBy("k", "d")
+        picked = picked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
     picked = picked.orderBy("r", "lang").limit(max_rows).select(F.col("lang").alias("p_lang"), F.col("k").alias("p_k")).distinct()
     rows = own.withColumn("k", F.xxhash64("d", "text")).join(
         F.broadcast(picked), (F.col("lang") == F.col("p_lang")) & (F.col("k") == F.col("p_k"))).select("k", "lang", "text")

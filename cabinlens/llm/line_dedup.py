@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabinlens.llm.common import materialize
+
 #: A line that at most so many documents hold is rare.
 RARE = 20
 #: Shortest block, in characters, that is deleted from a longer document.
@@ -101,8 +103,9 @@ def deletions(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, doc
     occ = same.select("h1", "h2", "d", "md", "n_lines", "chars", F.posexplode("at").alias("j", "x")).select(
         "h1", "h2", "j", "d", "md", "n_lines", "chars", "x.pos", "x.raw")
     first = occ.groupBy("h1", "h2", "j").agg(F.min(F.struct("d", "pos")).alias("f"), F.count("*").alias("df")).where("df > 1")
-    first = first.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("j").alias("kj"),
-                         F.col("f.d").alias("holder"), F.col("f.pos").alias("hpos"), "df")
+    # a written table: the join then reads two plain shuffles, whose hot keys AQE can split
+    first = materialize(first.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("j").alias("kj"),
+                                     F.col("f.d").alias("holder"), F.col("f.pos").alias("hpos"), "df"), "first")
     match = occ.join(first, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("j") == F.col("kj"))
                      & (F.col("d") > F.col("holder")))
     own = match.groupBy("d", "md").agg(

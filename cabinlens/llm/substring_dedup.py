@@ -132,8 +132,9 @@ def removed_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = base.groupBy("md").agg(F.min("d").alias("first_id"), F.min("th").alias("th"))
 
     anchors = base.select("th", _word_hashes(F.col("text")).alias("h")).mapInArrow(_anchors, "a long, th long, p int")
-    shared = (anchors.groupBy("a").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
-              .where("lo < hi").select(F.col("a").alias("sa")))
+    # written tables: the joins then read two plain shuffles, whose hot keys AQE can split
+    shared = materialize(anchors.groupBy("a").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
+                         .where("lo < hi").select(F.col("a").alias("sa")), "shared")
     positions = (anchors.join(shared, F.col("a") == F.col("sa"), "left_semi")
                  .groupBy("th").agg(F.collect_set("p").alias("at")))
     hit = materialize(positions.join(classes, "th").select("md", F.col("first_id").alias("d"), "at"), "anchors")
@@ -145,8 +146,8 @@ def removed_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     wins = own.select("d", "th", "at", _word_hashes(F.col("text")).alias("h")).mapInArrow(
         _windows, "h1 long, h2 long, d long, th long, s int")
-    first = (wins.groupBy("h1", "h2").agg(F.min("d").alias("first_d"), F.max("d").alias("last_d"))
-             .where("first_d < last_d").select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first_d"))
+    first = materialize(wins.groupBy("h1", "h2").agg(F.min("d").alias("first_d"), F.max("d").alias("last_d"))
+                        .where("first_d < last_d").select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first_d"), "first")
     later = wins.join(first, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & (F.col("d") > F.col("first_d")))
     starts = later.groupBy("d", "th").agg(F.collect_set("s").alias("starts"))
     kept = own.join(starts, ["d", "th"]).dropDuplicates(["md", "d"]).select("md", "d", "text", "starts").mapInArrow(

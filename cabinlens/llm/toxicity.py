@@ -192,8 +192,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, per_c
     known = labels.select(F.col(doc_id).alias("d"), F.col(label).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & (fold(F.col("d"), folds) != held))
     known = known.groupBy("d").agg(F.max("y").alias("y"))
-    own = known.withColumn("k", F.xxhash64("d")).withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("k", "d")))
-    picked = own.where(F.col("r") <= F.when(F.col("y") == 1, per_class).otherwise(clean_share * per_class)).select("d", "y", "k")
+    picked = known.withColumn("k", F.xxhash64("d")).withColumn("salt", F.pmod(F.col("k"), F.lit(64)))
+    most = F.when(F.col("y") == 1, per_class).otherwise(clean_share * per_class)
+    for group in (["y", "salt"], ["y"]):  # each class is first cut down in 64 parts
+        order = Window.partitionBy(*group).orderBy("k", "d")
+        picked = picked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)
+    picked = picked.select("d", "y", "k")
     rows = docs.select(F.col(doc_id).alias("__d"), F.col(text).alias("text")).where("text IS NOT NULL").join(
         F.broadcast(picked), F.col("__d") == F.col("d")).select("k", "y", "text").dropDuplicates()
     sample = sorted((r["k"], r["y"], r["text"]) for r in rows.collect())
