@@ -93,7 +93,8 @@ def _is(col: Column, v) -> Column:
 
 # -- C1 ---------------------------------------------------------------------
 def map_values(df: DataFrame, col: str, mapping: Mapping) -> DataFrame:
-    """Fixed value map; unmatched values stay (cast when the type changes)."""
+    """Fixed value map; unmatched values stay (cast when the
+    type changes; a value that cannot be cast raises)."""
     if not mapping:
         return df
     src_type = dict(df.dtypes)[col]
@@ -106,7 +107,10 @@ def map_values(df: DataFrame, col: str, mapping: Mapping) -> DataFrame:
         expr = expr.otherwise(c(col))
     else:
         target = "string" if isinstance(sample, str) else ("double" if isinstance(sample, float) else "int")
-        expr = expr.otherwise(F.expr(f"try_cast(`{col}` AS {target})"))
+        # a value that is neither mapped nor of the target type is an error, not a NULL
+        cast = F.expr(f"try_cast(`{col}` AS {target})")
+        told = F.raise_error(F.concat(F.lit(f"no mapping for {col} = "), c(col).cast("string"))).cast(target)
+        expr = expr.when(c(col).isNull() | cast.isNotNull(), cast).otherwise(told)
     return df.withColumn(col, expr)
 
 

@@ -44,10 +44,10 @@ def confusion_matrix(df: DataFrame, y: str = "y", pred: str = "prediction", labe
     """Rows true, columns predicted, zeros kept: long ``(actual, predicted, count)``."""
     counts = df.groupBy(c(y).cast("int").alias("actual"), c(pred).cast("int").alias("predicted")).count()
     grid = df.sparkSession.createDataFrame([(a, b) for a in labels for b in labels], "actual int, predicted int")
-    # counts has one row per (actual, predicted) pair: at most len(labels)^2 rows
-    return grid.join(F.broadcast(counts), ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")
-    )
+    # pairs outside of the grid (other labels, NULLs) get rows of their own, so
+    # that the counts add up to the input
+    return grid.select("actual", "predicted", F.lit(0).cast("long").alias("count")).unionAll(counts).groupBy(
+        "actual", "predicted").agg(F.sum("count").alias("count"))
 
 
 def classification_report(df: DataFrame, y: str = "y", pred: str = "prediction") -> DataFrame:
@@ -176,7 +176,6 @@ def threshold_search(df: DataFrame, candidates: Sequence[float], y: str = "y", p
 def best_trial(trials: DataFrame, params: str, score: str = "accuracy") -> DataFrame:
     """The trial of highest score (lowest loss); ties to the smallest params."""
     return trials.agg(
-        F.max_by(c(params), F.struct(c(score), -c(params) if dict(trials.dtypes)[params] != "string" else F.lit(0)))
-        .alias(params),
+        F.min_by(c(params), F.struct((-c(score)).alias("s"), c(params).alias("p"))).alias(params),
         F.max(c(score)).alias(score),
     )

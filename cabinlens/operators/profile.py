@@ -272,7 +272,8 @@ def crosstab_by_target(df: DataFrame, features: Sequence[str], target: str) -> D
 def density_table(train: DataFrame, test: DataFrame, feature: str, gridsize: int = 200,
                   cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on a grid for both sides (Scott's bandwidth
-    n^(-1/5) * sample std, grid from min - 3 bw to max + 3 bw).
+    n^(-1/5) * sample std, grid from min - 3 bw to max + 3 bw).  A side without
+    spread (constant, one row, none) is one row, its value with a NULL density.
 
     Values are pre-aggregated to ``(value, count)``; each task adds its values'
     kernels into the grid with numpy and emits ``gridsize`` partial rows, so
@@ -284,7 +285,8 @@ def density_table(train: DataFrame, test: DataFrame, feature: str, gridsize: int
         st = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("sd"),
                     F.min(col).alias("lo"), F.max(col).alias("hi")).first()
         n = st["n"]
-        if not n or st["sd"] is None or st["sd"] == 0:
+        if not n or not st["sd"]:  # no spread, no bandwidth: the value with a NULL density
+            frames.append(df.sparkSession.createDataFrame([(side, 0, st["lo"], None)], "side string, i int, x double, density double"))
             continue
         bw = n ** (-1.0 / 5.0) * st["sd"]
         grid = np.linspace(st["lo"] - cut * bw, st["hi"] + cut * bw, gridsize)

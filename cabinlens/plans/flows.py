@@ -11,6 +11,7 @@ import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from cabinlens import schema as S
@@ -41,7 +42,8 @@ def _estimator(algorithm: str, params: Mapping | None, ignore=()):
 
 
 def _write_submission(spark: SparkSession, sample_path: str, preds: DataFrame, out: str) -> DataFrame:
-    sample = spark.read.option("header", True).schema("id long, `Satisfaction Rating` string").csv(sample_path)
+    schema = T.StructType([T.StructField(S.ID, T.LongType()), T.StructField(S.RAW_TARGET, T.StringType())])
+    sample = IO.read_survey(spark, sample_path, schema)
     sub = IO.submission(sample, preds)
     IO.write_table(sub, out)
     return sub

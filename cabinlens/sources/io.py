@@ -14,16 +14,29 @@ from cabinlens.functions.exprs import c
 
 # -- A1 ---------------------------------------------------------------------
 def read_survey(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "csv") -> DataFrame:
-    """Headered CSV (or Parquet) with an explicit schema; empty and NaN cells are NULL."""
+    """Headered CSV (or Parquet) with an explicit schema; empty and NaN cells are
+    NULL.  Columns are taken by name, whatever their order in the file."""
     if fmt == "parquet":
-        return spark.read.parquet(path)
-    reader = spark.read.option("header", True).option("nanValue", "NaN").option("nullValue", "")
-    if schema is None:
-        raise ValueError("pass an explicit schema; schema inference costs a full pass")
-    df = reader.schema(schema).option("mode", "FAILFAST").csv(path)
-    # NaN read into double columns counts as missing, like a blank cell
+        df = spark.read.parquet(path)
+        if schema is not None:
+            df = df.select(*[c(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    else:
+        if schema is None:
+            raise ValueError("pass an explicit schema; schema inference costs a full pass")
+        reader = spark.read.option("header", True).option("nanValue", "NaN").option("nullValue", "")
+        types = {f.name.strip(): f.dataType for f in schema.fields}
+        names = reader.csv(path).columns  # the header line only
+        at = {x.strip(): x for x in names}
+        missing = [f.name for f in schema.fields if f.name.strip() not in at]
+        if missing:
+            raise ValueError(f"{path} lacks the columns {missing}")
+        # in the file's order; a file with another header fails instead of being read by position
+        own = T.StructType([T.StructField(x, types.get(x.strip(), T.StringType())) for x in names])
+        df = reader.schema(own).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+        df = df.select(*[c(at[f.name.strip()]).alias(f.name) for f in schema.fields])
+    # NaN in a double column counts as missing, like a blank cell
     return df.withColumns(
-        {f.name: F.when(~F.isnan(c(f.name)), c(f.name)) for f in schema.fields
+        {f.name: F.when(~F.isnan(c(f.name)), c(f.name)) for f in df.schema.fields
          if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     )
 
@@ -72,9 +85,11 @@ def save_model(model, path: str) -> None:
 
 
 def load_model(path: str):
-    from pyspark.ml import PipelineModel
+    """Any saved model, by the class that its metadata names."""
+    from pyspark.ml.util import DefaultParamsReader
+    from pyspark.sql import SparkSession
 
-    return PipelineModel.load(path)
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.getActiveSession())
 
 
 # -- A6 ---------------------------------------------------------------------

@@ -10,7 +10,6 @@ restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,6 @@ from pyspark.sql import types as T
 
 from cabinlens import schema as S
 from cabinlens.operators.learn import positive_probability
-from cabinlens.session import ensure_checkpoint_dir
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet",
@@ -42,11 +40,11 @@ def submission_stream(raw: DataFrame, prepare: Callable[[DataFrame], DataFrame],
     return scored.select(S.ID, label.alias(S.RAW_TARGET))
 
 
-def start_submission_sink(stream: DataFrame, out_folder: str, name: str = "submissions",
-                          available_now: bool = False):
-    """Append submission rows as parquet; progress under the shared checkpoint folder."""
-    ckpt = os.path.join(ensure_checkpoint_dir(stream.sparkSession), f"stream-{name}")
-    writer = stream.writeStream.format("parquet").option("path", out_folder).option("checkpointLocation", ckpt)
+def start_submission_sink(stream: DataFrame, out_folder: str, checkpoint: str, available_now: bool = False):
+    """Append submission rows as parquet.  ``checkpoint`` is a fixed shared
+    folder that belongs to ``out_folder``: a restart with the same one goes on
+    where the last run stopped, and each input row is written once."""
+    writer = stream.writeStream.format("parquet").option("path", out_folder).option("checkpointLocation", checkpoint)
     writer = writer.outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from cabinlens import schema as S
 from cabinlens.operators import learn as J
 from cabinlens.operators.select import split_xy
@@ -26,9 +28,16 @@ def test_stream_matches_batch(spark, sf):
     raw_test.write.mode("overwrite").parquet(os.path.join(folder, "batch1"))
     out = tempfile.mkdtemp(prefix="cabinlens-out-")
     stream = submission_stream(read_stream(spark, os.path.join(folder, "batch1"), raw_test.schema), prepare, model)
-    q = start_submission_sink(stream, out, name="t1", available_now=True)
+    progress = os.path.join(out, "_progress")
+    q = start_submission_sink(stream, out, progress, available_now=True)
     q.awaitTermination(300)
     got = {r[S.ID]: r[S.RAW_TARGET] for r in spark.read.parquet(out).collect()}
     batch = submission_stream(raw_test, prepare, model)
     want = {r[S.ID]: r[S.RAW_TARGET] for r in batch.collect()}
     assert got == want and len(got) == raw_test.count()
+    # new rows after a restart are added, the others are not written again
+    more = raw_test.limit(5).withColumn(S.ID, F.col(S.ID) + 10_000_000)
+    more.write.mode("append").parquet(os.path.join(folder, "batch1"))
+    stream = submission_stream(read_stream(spark, os.path.join(folder, "batch1"), raw_test.schema), prepare, model)
+    start_submission_sink(stream, out, progress, available_now=True).awaitTermination(300)
+    assert spark.read.parquet(out).count() == len(want) + 5
