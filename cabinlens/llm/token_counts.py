@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabinlens.llm.byte_bpe import _encoder, encode_texts
-from cabinlens.llm.common import text_slices
+from cabinlens.llm.common import materialize, text_slices
 
 #: Lengths in a block of the two-level sums.
 BLOCK = 1024
@@ -49,7 +49,8 @@ def length_report(counted: DataFrame, length: str = "n_tokens") -> DataFrame:
     docs_at_least, docs_longer, tokens_at_most (in documents not longer),
     kept_tokens (if all are cut at n_tokens), total_tokens, quantile (share of
     documents not longer)."""
-    hist = counted.groupBy(F.col(length).alias("n_tokens")).agg(F.count("*").alias("n_docs"))
+    # a written table, as two branches read it and the texts are to be encoded once
+    hist = materialize(counted.groupBy(F.col(length).alias("n_tokens")).agg(F.count("*").alias("n_docs")), "lengths")
     hist = hist.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     blocks = hist.groupBy("block").agg(F.sum("n_docs").alias("b_docs"), F.sum("tokens").alias("b_tokens"))
     after = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
