@@ -9,10 +9,10 @@ documents share makes n - 1 pairs and not n**2, whatever n is.
 Each pair is aligned by patience: the shared lines are unique on both sides,
 the longest run of matches that ascends in both documents is kept, and
 neighbouring matches form blocks.  A block is deleted from the later document
-if it holds a rare line (at most ``RARE`` documents have it), if it has two
-lines or more, or if it is all of the document; and if it has ``MIN_CHARS``
-characters or is all of the document.  So a frequent line that stands alone
-(a licence line, a greeting) does not tie documents together and stays.
+if it has two lines or more, if it is one line of ``LONE_CHARS`` characters or
+more, or if it is all of the document; how many documents hold its lines does
+not matter, so the rule is the same for every size of the corpus.  A shorter
+line that stands alone (a licence line, a greeting) stays.
 
 Defined cases: null text stays null; a text without lines or shared lines is
 unchanged; rows with the same id are never earlier than each other; rows with
@@ -31,10 +31,8 @@ from pyspark.sql import functions as F
 
 from cabinlens.llm.common import materialize
 
-#: A line that at most so many documents hold is rare.
-RARE = 20
-#: Shortest block, in characters, that is deleted from a longer document.
-MIN_CHARS = 20
+#: Shortest line, in characters, that is deleted where it stands alone.
+LONE_CHARS = 100
 
 
 def ascending(pairs: list[tuple]) -> list[tuple]:
@@ -56,21 +54,19 @@ def ascending(pairs: list[tuple]) -> list[tuple]:
     return out[::-1]
 
 
-def deleted(matches: list[dict], n_lines: int, rare: int = RARE, min_chars: int = MIN_CHARS) -> list[int]:
+def deleted(matches: list[dict], n_lines: int, lone_chars: int = LONE_CHARS) -> list[int]:
     """Raw line numbers to delete from a document, from the matches of its
     lines: pos and hpos (own and holder's line number among non-blank lines),
-    raw (own number among all lines), holder, df, chars."""
+    raw (own number among all lines), holder, chars."""
     by_holder: dict[int, list[tuple]] = {}
     for m in matches:
-        by_holder.setdefault(m["holder"], []).append((m["pos"], m["hpos"], m["raw"], m["df"], m["chars"]))
+        by_holder.setdefault(m["holder"], []).append((m["pos"], m["hpos"], m["raw"], m["chars"]))
     gone = []
     for pairs in by_holder.values():
         block: list[tuple] = []
         for p in [*ascending(sorted(pairs)), None]:
             if block and (p is None or p[0] != block[-1][0] + 1 or p[1] != block[-1][1] + 1):
-                whole = len(block) == n_lines
-                known = len(block) > 1 or block[0][3] <= rare
-                if whole or (known and sum(b[4] for b in block) >= min_chars):
+                if len(block) > 1 or len(block) == n_lines or block[0][3] >= lone_chars:
                     gone += [b[2] for b in block]
                 block = []
             if p is not None:
@@ -78,17 +74,17 @@ def deleted(matches: list[dict], n_lines: int, rare: int = RARE, min_chars: int
     return sorted(gone)
 
 
-def _align(rare: int, min_chars: int):
+def _align(lone_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cut = [deleted(m, n, rare, min_chars) for m, n in zip(batch["matches"].to_pylist(), batch["n_lines"].to_pylist())]
+            cut = [deleted(m, n, lone_chars) for m, n in zip(batch["matches"].to_pylist(), batch["n_lines"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch["d"], batch["md"], pa.array(cut, pa.list_(pa.int32()))], names=["d", "md", "gone"])
 
     return run
 
 
-def deletions(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def deletions(docs: DataFrame, lone_chars: int = LONE_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(d, md, gone): for documents that lose lines, their raw line numbers."""
     base = docs.select(F.col(doc_id).cast("long").alias("d"), F.md5(text).alias("md"), F.split(text, "\n").alias("lines"))
     base = base.where("d IS NOT NULL AND md IS NOT NULL")
@@ -105,19 +101,19 @@ def deletions(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, doc
     first = occ.groupBy("h1", "h2", "j").agg(F.min(F.struct("d", "pos")).alias("f"), F.count("*").alias("df")).where("df > 1")
     # a written table: the join then reads two plain shuffles, whose hot keys AQE can split
     first = materialize(first.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("j").alias("kj"),
-                                     F.col("f.d").alias("holder"), F.col("f.pos").alias("hpos"), "df"), "first")
+                                     F.col("f.d").alias("holder"), F.col("f.pos").alias("hpos")), "first")
     match = occ.join(first, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("j") == F.col("kj"))
                      & (F.col("d") > F.col("holder")))
     own = match.groupBy("d", "md").agg(
         F.max("n_lines").alias("n_lines"),
-        F.collect_list(F.struct("pos", "hpos", "raw", "holder", "df", "chars")).alias("matches"))
-    return own.mapInArrow(_align(rare, min_chars), "d long, md string, gone array<int>").where("size(gone) > 0")
+        F.collect_list(F.struct("pos", "hpos", "raw", "holder", "chars")).alias("matches"))
+    return own.mapInArrow(_align(lone_chars), "d long, md string, gone array<int>").where("size(gone) > 0")
 
 
-def line_dedup(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, lone_chars: int = LONE_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with the text cut, and n_lines (non-blank lines
     before) and n_removed behind them."""
-    cut = deletions(docs, rare, min_chars, doc_id, text).select(F.col("d").alias("__d"), F.col("md").alias("__md"), F.col("gone").alias("__gone"))
+    cut = deletions(docs, lone_chars, doc_id, text).select(F.col("d").alias("__d"), F.col("md").alias("__md"), F.col("gone").alias("__gone"))
     names = [c for c in docs.columns if c != text]
     joined = docs.join(cut, (F.col(doc_id) == F.col("__d")) & (F.md5(text) == F.col("__md")), "left")
     kept = F.expr(f"transform(array(split(`{text}`, '\\n')), l -> array_join(transform(array_except(sequence(0, size(l) - 1), __gone), "

@@ -118,6 +118,13 @@ def test_patience_and_blocks():
     assert line_dedup.deleted([match(0, 0, chars=4)], 9) == []  # too short
 
 
+def test_line_blocks_do_not_depend_on_frequency():
+    match = lambda pos, hpos, df, chars: dict(pos=pos, hpos=hpos, raw=pos, df=df, chars=chars, holder=1)
+    assert line_dedup.deleted([match(4, 0, 900, 300)], 9) == [4]  # a passage on one line, however often it occurs
+    assert line_dedup.deleted([match(4, 0, 2, 30)], 9) == line_dedup.deleted([match(4, 0, 900, 30)], 9) == []
+    assert line_dedup.deleted([match(4, 0, 900, 5), match(5, 1, 900, 4)], 9) == [4, 5]  # several short lines
+
+
 def test_line_dedup(spark):
     a = "first long line of the document\nsecond long line of the document\n\nthird long line of it"
     rows = [(1, a), (2, "own words in front of it all\n" + a), (3, a), (None, a), (4, None), (5, ""), (1, a), (6, "\n\n"), (7, "only here, a line of its own")]
