@@ -136,6 +136,48 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+def brute_lines(rows):
+    """Every pair of documents aligned: kept text by (id, text)."""
+    split = []
+    for d, t in sorted({r for r in rows if r[0] is not None and r[1] is not None}):
+        seen, lines = collections.Counter(), []
+        for raw, x in enumerate(t.split("\n")):
+            if x.strip(" "):
+                lines.append(((x.strip(" "), seen[x.strip(" ")]), raw))
+                seen[x.strip(" ")] += 1
+        split.append((d, t, lines))
+    out = {}
+    for d, t, lines in split:
+        gone = set()
+        for e, _, other in split:
+            at = {k: i for i, (k, _) in enumerate(other)}
+            match = [dict(pos=i, hpos=at[k], raw=raw, holder=0, chars=len(k[0])) for i, (k, raw) in enumerate(lines) if k in at]
+            gone.update(line_dedup.deleted(match, len(lines)) if e < d else ())
+        out[d, t] = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+    return out
+
+
+def test_line_dedup_matches_all_pairs(spark):
+    block = [f"line {i} of the block" for i in range(5)]
+    # the lines' first holders are unrelated, scattered or in another order; (8, 9) cross with the first holder of their run
+    rows = [(1, "other\n" + block[2] + "\nwords"), (2, "\n".join(block[::-1])), (3, "\n".join(["b"] + block)), (4, "\n".join(["c"] + block + ["d"])),
+            (5, "\n".join(block)), (6, "x\ny\np\nq\nr"), (7, "k\nx\ny"), (8, "p\nq\nr\nx\ny"), (9, "m\nx\ny\nn"), (10, "k"), (11, "L" * 120 + "\nz"), (12, "w\n" + "L" * 120)]
+    rng = random.Random(4)
+    vocab = [f"line {i}" for i in range(12)] + ["long " * 30 + str(i) for i in range(4)]
+    for d in range(20, 70):
+        rows.append((d, "\n".join(rng.choice(vocab) if rng.random() < 0.7 else f" own {d} {i} " for i in range(rng.randrange(1, 9)))))
+    rows += [(70, rows[30][1]), (70, rows[31][1]), (71, rows[30][1] + "\n" + rows[31][1]), (None, rows[30][1]), (30, rows[35][1])]
+    want = brute_lines(rows)
+    assert want[5, rows[4][1]] == "" and want[4, rows[3][1]] == "c\nd" and want[8, rows[7][1]] == "" and want[10, "k"] == ""
+    got = line_dedup.line_dedup(frame(spark, rows).select("doc_id", "text", "n_words")).collect()
+    assert len(got) == len(rows)
+    new = {}
+    for d, t in rows:
+        new.setdefault(d, []).append(want.get((d, t), t))
+    kept = {d: sorted(r.text for r in got if r.doc_id == d) for d in new}
+    assert kept == {d: sorted(x) for d, x in new.items()}
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     e = rng.integers(0, 1 << 63, 900).astype(np.uint64)
