@@ -234,6 +234,22 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, pairwise):
     assert dart_minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("pairwise", [(0, 48, 64), (0, 2)])
+def test_near_duplicates_of_a_member_that_matched_the_head(spark, monkeypatch, pairwise):
+    monkeypatch.setattr(dart_minhash, "PAIRWISE", pairwise)
+    rng = random.Random(12)
+    new = lambda n: ["".join(rng.choices("abcdefgh", k=9)) for _ in range(n)]
+    rows = []
+    for g in range(0, 160, 10):
+        x = new(400)
+        rows += [(g, " ".join(new(43) + x[43:])), (g + 1, " ".join(x))]  # 0.804 of each other, 0.796 or less of the rest
+        rows += [(g + 2 + i, " ".join(x[:-2 - i] + new(2 + i))) for i in range(6)]
+    want = brute_groups(rows)
+    assert len(set(want.values())) == 16 and len(set(brute_groups([r for r in rows if r[0] % 10 != 1]).values())) == 32
+    got = dart_minhash.near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(12)] + [(7, 7)]
