@@ -17,7 +17,8 @@ Spark's sort-merge join, whose hot keys AQE splits.
 Defined cases: null text and text without words have no words and no hits;
 null ``doc_id`` is kept and returned as null; repeated rows are returned as
 often as they occur; an empty benchmark marks nothing; rows of the benchmark
-with a null ``item_id`` or text are ignored; other columns are not read.
+with a null text are ignored, and one with a null ``item_id`` counts for n_hit
+and contaminated but is not listed in items; other columns are not read.
 """
 
 from __future__ import annotations
@@ -78,7 +79,7 @@ def _windows(runs: str) -> str:
 def benchmark_windows(items: DataFrame, span: int = 10, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item, len, f, win): every window of every item, ``win`` as its words
     joined by spaces."""
-    base = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), words(text).alias("w")).where("size(w) > 0")
+    base = items.select(F.col(item_id).alias("item"), words(text).alias("w")).where("size(w) > 0")
     lens = ", ".join(f"WHEN size(w) = {n} THEN {_fingerprints(n)}" for n in range(1, span)).replace(", WHEN", " WHEN")
     base = base.withColumn("runs", F.expr(f"CASE {lens} ELSE {_fingerprints(span)} END"))
     wins = base.select("item", F.inline(F.expr(_windows("runs"))))

@@ -54,6 +54,14 @@ def test_decontaminate_matches_brute_force(spark):
         str((d, t)) for (d, t), w in zip(DOCS, want) if not w[5])
 
 
+def test_decontaminate_item_without_id(spark):
+    items = spark.createDataFrame([(None, "q r s t"), (1, "u v")], "item_id long, text string")
+    docs = frame(spark, [(1, "p q r s t"), (2, "u v q r s t"), (3, "q r s")])
+    got = {r.doc_id: (r.n_hit, r.n_items, r["items"], r.contaminated) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (4, 0, [], True), 2: (6, 1, ["1"], True), 3: (0, 0, [], False)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()] == [3]
+
+
 def test_decontaminate_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(frame(spark, []), none).count() == 0
