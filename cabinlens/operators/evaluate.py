@@ -52,14 +52,19 @@ def confusion_matrix(df: DataFrame, y: str = "y", pred: str = "prediction", labe
 
 def classification_report(df: DataFrame, y: str = "y", pred: str = "prediction") -> DataFrame:
     """precision, recall, f1, support per class, accuracy, macro and weighted
-    means (0 on zero division), computed from the 2x2 counts in one pass."""
+    means (0 on zero division), computed from counts in one pass.  Rows with a
+    NULL or another label count in the support and as mistakes."""
+    # null-safe: a NULL or another label on one side still counts on the other
+    def count(cond, name):
+        return F.sum(F.coalesce(cond, F.lit(False)).cast("long")).alias(name)
+
     row = df.agg(
-        F.sum(((c(y) == 1) & (c(pred) == 1)).cast("long")).alias("tp"),
-        F.sum(((c(y) == 0) & (c(pred) == 1)).cast("long")).alias("fp"),
-        F.sum(((c(y) == 1) & (c(pred) == 0)).cast("long")).alias("fn"),
-        F.sum(((c(y) == 0) & (c(pred) == 0)).cast("long")).alias("tn"),
+        count((c(y) == 1) & (c(pred) == 1), "tp"), count((c(y) == 0) & (c(pred) == 0), "tn"),
+        count((c(pred) == 1) & ~c(y).eqNullSafe(1), "fp1"), count((c(y) == 1) & ~c(pred).eqNullSafe(1), "fn1"),
+        count((c(pred) == 0) & ~c(y).eqNullSafe(0), "fp0"), count((c(y) == 0) & ~c(pred).eqNullSafe(0), "fn0"),
+        F.count(F.lit(1)).alias("n"),
     )
-    tp, fp, fn, tn = (F.coalesce(F.col(x), F.lit(0)).cast("double") for x in ("tp", "fp", "fn", "tn"))
+    tp, tn, fp1, fn1, fp0, fn0, n = (F.coalesce(F.col(x), F.lit(0)).cast("double") for x in ("tp", "tn", "fp1", "fn1", "fp0", "fn0", "n"))
 
     def cls(tp_, fp_, fn_):
         prec = safe_div(tp_, tp_ + fp_)
@@ -67,13 +72,12 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "prediction")
         f1 = safe_div(2 * tp_, 2 * tp_ + fp_ + fn_)
         return prec, rec, f1, tp_ + fn_
 
-    p1, r1, f1_1, s1 = cls(tp, fp, fn)
-    p0, r0, f1_0, s0 = cls(tn, fn, fp)
-    n = s0 + s1
+    p1, r1, f1_1, s1 = cls(tp, fp1, fn1)
+    p0, r0, f1_0, s0 = cls(tn, fp0, fn0)
     acc = safe_div(tp + tn, n)
     stats = row.select(
         p0.alias("p0"), r0.alias("r0"), f1_0.alias("f0"), s0.alias("s0"),
-        p1.alias("p1"), r1.alias("r1"), f1_1.alias("f1"), s1.alias("s1"), acc.alias("acc"),
+        p1.alias("p1"), r1.alias("r1"), f1_1.alias("f1"), s1.alias("s1"), acc.alias("acc"), n.alias("n"),
     )
     g = F.col
     wavg = lambda a, b: safe_div(a * g("s0") + b * g("s1"), g("s0") + g("s1"))
@@ -86,11 +90,11 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "prediction")
     entries = F.array(
         entry("0", g("p0"), g("r0"), g("f0"), g("s0")),
         entry("1", g("p1"), g("r1"), g("f1"), g("s1")),
-        entry("accuracy", none, none, g("acc"), g("s0") + g("s1")),
+        entry("accuracy", none, none, g("acc"), g("n")),
         entry("macro avg", (g("p0") + g("p1")) / 2, (g("r0") + g("r1")) / 2, (g("f0") + g("f1")) / 2,
-              g("s0") + g("s1")),
+              g("n")),
         entry("weighted avg", wavg(g("p0"), g("p1")), wavg(g("r0"), g("r1")), wavg(g("f0"), g("f1")),
-              g("s0") + g("s1")),
+              g("n")),
     )
     return stats.select(F.explode(entries).alias("e")).select(
         "e.label", "e.precision", "e.recall", "e.f1_score", F.col("e.support").cast("long").alias("support")

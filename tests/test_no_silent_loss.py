@@ -42,6 +42,21 @@ def test_confusion_counts_add_up(spark):
     assert sum(got.values()) == 5 and got[(0, 2)] == 1 and got[(0, 1)] == 0 and got[(None, 1)] == 1
 
 
+def test_report_counts_other_rows(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (0, 0), (0, 2), (2, 1), (None, 0)], "y int, prediction int")
+    got = {r.label: r for r in evaluate.classification_report(df).collect()}
+    assert (got["1"].support, got["0"].support, got["accuracy"].support) == (2, 2, 6)
+    assert (got["1"].precision, got["1"].recall, got["0"].precision, got["0"].recall) == (0.5, 0.5, 0.5, 0.5)
+    assert got["accuracy"].f1_score == pytest.approx(2 / 6)
+
+
+def test_other_objective_raises(spark):
+    J.boosted_trees({"objective": "binary:logistic", "eval_metric": "error"})
+    for params in ({"objective": "reg:squarederror"}, {"eval_metric": "auc"}):
+        with pytest.raises(J.UnsupportedParameter):
+            J.boosted_trees(params)
+
+
 def test_constant_density(spark):
     one, two = spark.createDataFrame([(3.0,), (3.0,)], "x double"), spark.createDataFrame([(1.0,), (2.0,)], "x double")
     assert [(r.side, r.x, r.density) for r in profile.density_table(one, one, "x").collect()] == [("train", 3.0, None), ("test", 3.0, None)]
