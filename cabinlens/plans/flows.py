@@ -65,8 +65,8 @@ def train_and_submit(spark: SparkSession, train_path: str, test_path: str, sampl
     estimator = _estimator(algorithm, params, ignore)
     model = J.fit(estimator, xy)
     sweep = None
+    oof = J.out_of_fold(estimator, with_folds, k=folds, keep=(S.ID,))
     if tune_threshold:
-        oof = J.out_of_fold(estimator, with_folds, k=folds, keep=(S.ID,))
         sweep = K.threshold_search(oof, tune_threshold, y=S.TARGET, p="p")
         threshold = K.best_trial(sweep, "threshold", "accuracy").first()["threshold"]
     if repeats:
@@ -81,8 +81,7 @@ def train_and_submit(spark: SparkSession, train_path: str, test_path: str, sampl
     scored_train = J.score(model, xy, keep=(S.ID, S.TARGET), threshold=threshold)
     train_acc = K.accuracy(scored_train, S.TARGET).first()["accuracy"]
     IO.write_table(J.feature_importance(model, names, spark), os.path.join(out_dir, "feature-importance"), sep="\t")
-    last_fold = with_folds.where(F.col("fold") == folds - 1).select(S.ID)
-    wrong = K.wrong_predictions(scored_train.join(last_fold, S.ID), S.TARGET)
+    wrong = K.wrong_predictions(K.apply_threshold(oof, "p", threshold), S.TARGET)
     IO.write_table(tr.join(wrong.select(S.ID, "true_labels", "predicted_labels"), S.ID),
                    os.path.join(out_dir, "error_analysis"))
     report = K.classification_report(scored_train, S.TARGET)

@@ -33,6 +33,15 @@ def test_train_and_submit(spark, files):
     assert imp.count() == 80
 
 
+def test_error_rows_are_out_of_fold(spark, files):
+    out = files["out"] + "4"
+    res = flows.train_and_submit(spark, files["train"], files["test"], files["sample"], out,
+                                 params={"n_estimators": 3, "max_depth": 3}, folds=2)
+    rows = res["report"].where("label = 'accuracy'").first()["support"]
+    errors = spark.read.option("header", True).csv(os.path.join(out, "error_analysis"))
+    assert errors.count() / rows == pytest.approx(1 - res["cv_mean"], abs=0.01)
+
+
 def test_voting_network_blend(spark, files):
     small = {"n_estimators": 5, "max_depth": 3}
     vote = flows.voting_submit(spark, files["train"], files["test"], files["sample"], files["out"],
