@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabinlens.llm import (
-    ann_forest, byte_bpe, dart_minhash, decontaminate, language_id, line_dedup, pii, substring_dedup, token_counts, toxicity,
+    ann_forest, byte_bpe, dart_minhash, decontaminate, language_id, lexical_search, line_dedup, pii, substring_dedup, token_counts, toxicity,
 )
 from cabinlens.llm.common import read_table
 
@@ -124,3 +124,31 @@ def op3_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_report(token_counts.lengths(read_table(spark, sf_dir, "documents"), *_vocabulary()))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+i AS (
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+held AS (SELECT i, item_id, t, count(*) AS c FROM i, unnest(w) AS u(t) GROUP BY ALL),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+tf AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, t, count(*) AS tf FROM d, unnest(w) AS u(t) WHERE t IN (SELECT t FROM held) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS g FROM df, total),
+impacts AS (SELECT r, doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)) AS p FROM tf, total),
+scores AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(c * g * p) AS BIGINT) AS score FROM held JOIN weights USING (t) JOIN impacts USING (t) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
