@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabinlens.llm import (
-    ann_forest, byte_bpe, dart_minhash, decontaminate, language_id, lexical_search, line_dedup, pii, substring_dedup, token_counts, toxicity,
+    ann_forest, byte_bpe, dart_minhash, decontaminate, language_id, lexical_search, line_dedup, pii, substring_dedup, token_alignment,
+    token_counts, toxicity,
 )
 from cabinlens.llm.common import read_table
 
@@ -152,3 +153,12 @@ SELECT * FROM ranked WHERE rank <= 10
 @query("op11_lexical_search", OP11_SQL)
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    return token_alignment.alignment(
+        read_table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN,
+        tokenizers.path("piece_bpe_32k.model"))
