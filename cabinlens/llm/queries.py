@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabinlens.llm import (
-    ann_forest, byte_bpe, dart_minhash, decontaminate, language_id, lexical_search, line_dedup, pii, substring_dedup, token_alignment,
-    token_counts, toxicity,
+    ann_forest, byte_bpe, dart_minhash, decontaminate, jaccard_join, language_id, lexical_search, line_dedup, pii,
+    substring_dedup, token_alignment, token_counts, toxicity,
 )
 from cabinlens.llm.common import read_table
 
@@ -155,6 +155,28 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS t
+  FROM w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+pairs AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.t = y.t AND x.r < y.r GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.r JOIN n y ON b = y.r WHERE 100 * c >= 85 * (x.n + y.n - c)),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT r, r FROM w UNION SELECT reach.a, either.b FROM reach JOIN either ON reach.b = either.a),
+component AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN w ON b = w.r GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM w JOIN component USING (r) LEFT JOIN n USING (r)
+"""
+
+
+@query("op12_jaccard_join", OP12_SQL)
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 @query("op13_token_alignment")
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokenizers

@@ -24,7 +24,7 @@ def test_oracle(spark, sf, name):
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
 
