@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ from cabinlens.llm.common import list_array, ragged, text_slices
 
 #: Pieces of more bytes are merged one by one with a heap.
 LONG_WORD = 200
+#: Bytes of text that are encoded at a time; each slice is handed on before the next.
+SLICE_BYTES = 1 << 20
 #: White space as the pattern's engine defines it (the Unicode property).
 _SPACES = r"\t-\r\x20\x85\xa0  -     　"
 
@@ -191,15 +194,17 @@ NONE = np.int64(1) << np.int64(40)
 def encode_texts(texts: list[str | None], merges: Merges, cut: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
     """(ids, sizes): tokens of the texts, each distinct word folded once."""
     index: dict[str, int] = {}
-    rows, counts = [], []
+    rows, counts = array("i"), []
     for text in texts:
-        found = cut.findall(text or "")
-        counts.append(len(found))
-        rows += [index.setdefault(w, len(index)) for w in found]
+        before = len(rows)
+        rows.extend([index.setdefault(w, len(index)) for w in cut.findall(text or "")])
+        counts.append(len(rows) - before)
     if not index:
         return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
-    ids, sizes = merges.fold([w.encode("utf-8", "surrogatepass") for w in index])
-    row = np.array(rows, np.int64)
+    words = [w.encode("utf-8", "surrogatepass") for w in index]
+    del index
+    ids, sizes = merges.fold(words)
+    row = np.frombuffer(rows, np.int32)
     starts = np.cumsum(sizes) - sizes
     per_word = sizes[row]
     ends = np.append(0, np.cumsum(per_word))
@@ -228,7 +233,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, cut = tables()
         for batch in batches:
-            for a, b in text_slices(batch["__text"]):
+            for a, b in text_slices(batch["__text"], SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 ids, sizes = encode_texts(part["__text"].to_pylist(), merges, cut)
                 yield pa.RecordBatch.from_arrays(
@@ -268,7 +273,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, cut = tables()
         for batch in batches:
-            for a, b in text_slices(batch["__text"]):
+            for a, b in text_slices(batch["__text"], SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 ids, sizes = encode_texts(part["__text"].to_pylist(), merges, cut)
                 data, lengths = merges.decode(ids)

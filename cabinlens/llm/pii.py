@@ -20,7 +20,9 @@ they are; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,6 +57,12 @@ NEAR = 40
 LEAST = 0.5
 
 
+def octet(part: str) -> bool:
+    """Whether the value is at most 255, whatever the leading zeros."""
+    value = part.lstrip("0")
+    return len(value) <= 3 and int(value or "0") <= 255
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -87,7 +95,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the four base kinds that pass their validators."""
     out = [(a, b, "email") for a, b in emails(text)]
-    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(octet(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 12:
             digits = m[0].replace(" ", "").replace("-", "")
@@ -118,12 +126,18 @@ def added_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     found += [(m.start(), m.end(), "local_phone") for m in LOCAL_PHONE.finditer(text)]
     if not found:
         return []
-    out, taken = [], sorted((a, b) for a, b, _ in base)
+    # longest end of the base spans up to each start: overlaps are found by search
+    taken = sorted((a, b) for a, b, _ in base)
+    starts = [a for a, _ in taken]
+    reach = list(accumulate((b for _, b in taken), max))
+    out: list[tuple[int, int, str, float]] = []
+    kept: list[tuple[int, int]] = []  # disjoint, by start
     for a, b, kind in found:
         value = score(text, a, b, kind)
-        if value >= LEAST and not any(a < d and c < b for c, d in taken):
+        i, j = bisect_left(starts, b), bisect_left(kept, (b, 0))
+        if value >= LEAST and not (i and reach[i - 1] > a) and not (j and kept[j - 1][1] > a):
             out.append((a, b, kind, value))
-            taken.append((a, b))
+            insort(kept, (a, b))
     return out
 
 
@@ -151,10 +165,12 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The columns of the query: counts, a hash of the base spans, all spans."""
+    """The columns of the query: counts, a hash of the base spans, all spans and
+    their scores in the same order."""
     def joined(spans: str) -> str:
         return f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
 
     base = "filter(spans, s -> s.base)"
     counts = [F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(F.expr(joined(base)), 256).alias("base_sha256"), F.expr(joined("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(F.expr(joined(base)), 256).alias("base_sha256"), F.expr(joined("spans")).alias("spans"),
+                        F.expr("array_join(transform(spans, s -> CAST(s.score AS STRING)), ',')").alias("scores"))

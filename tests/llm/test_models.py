@@ -95,6 +95,27 @@ def test_pii(spark):
     assert pii.digest(pii.personal_data(docs(spark, []))).count() == 0
 
 
+def test_pii_long_and_crowded_texts(spark):
+    zeros = "0" * 5000
+    crowd = " ".join(f"call {200 + i % 700}-{100 + i % 900}-{1000 + i}" for i in range(3000)) + " 1.2.3.4 a@b.cd"
+    rows = [(1, f"{zeros}.1.2.3 ip", 1, "s"), (2, f"1.{zeros}256.2.3", 1, "s"), (3, f"{zeros}.{zeros}.{zeros}.{zeros}255", 1, "s"), (4, crowd, 1, "s")]
+    got = {r.doc_id: r for r in pii.digest(pii.personal_data(docs(spark, rows))).collect()}
+    assert [got[i].n_ip for i in (1, 2, 3, 4)] == [1, 0, 1, 1]
+    spans = got[4].spans.split(",")
+    assert len(spans) == 3002 and len(got[4].scores.split(",")) == 3002 and got[4].n_email == 1
+    # spans of the added kinds are what a comparison with every other span leaves
+    base = pii.base_spans(crowd)
+    added = [(a, b) for a, b, _, _ in pii.added_spans(crowd, base)]
+    assert all(b <= c or d <= a for a, b in added for c, d, _ in base)
+    assert all(x[1] <= y[0] for x, y in zip(sorted(added), sorted(added)[1:]))
+
+
+def test_context_moves_the_score():
+    plain, phone, serial = ("555-123-4567", "phone 555-123-4567", "serial phone 555-123-4567")
+    scores = [pii.score(t, t.index("555"), len(t), "local_phone") for t in (plain, phone, serial)]
+    assert scores == [0.4, 0.7, 0.4]
+
+
 def test_language_held_out(spark, sf):
     table = spark.read.parquet(f"{sf}/documents.parquet")
     odd = spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "123 !", "en", "s", 0), (None, "the of and", None, "s", 0)], table.schema)
@@ -153,3 +174,21 @@ def test_neighbours(spark):
             assert [r.vec_id for r in mine] == best
     assert hit >= 0.9 * 60 and len(got) == 60
     assert ann_forest.nearest(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_neighbours_of_multiples_are_the_smallest_ids(spark):
+    """More positive multiples of one vector than are asked for, in any order of ids."""
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(60).tolist()
+    one, other = rng.normal(size=8), rng.normal(size=8)
+    rows = [(i, [float(x) for x in (one if i % 3 else other) * 2.0 ** (i % 7 - 3)], "x", 1.0, 2) for i in ids]
+    rows += [(100 + i, [float(x) for x in rng.normal(size=8)], "x", 1.0, 2) for i in range(50)] + [rows[0]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, entry string, score double, rank int")
+    vectors = {r[0]: np.array(r[1]) for r in rows}
+    for block in (16384, 16):
+        got = sorted(tuple(r)[:3] for r in ann_forest.nearest(table, F.col("vec_id") % 50 == 0, share=1.0, block_rows=block).collect())
+        want = []
+        for q in sorted(i for i in vectors if i % 50 == 0):
+            score = {i: float(ann_forest.exact_cosine(v[None], vectors[q])[0]) for i, v in vectors.items() if i != q}
+            want += [(q, r, i) for r, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:5], 1)]
+        assert got == sorted(want)
