@@ -7,11 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cabinlens.plans.catalog import ORACLE, QUERIES
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 def _norm(v):
     if isinstance(v, float):
