@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cabinlens import schema as S
 from cabinlens.functions.exprs import c
-from cabinlens.functions.ordered import with_global_rank
+from cabinlens.functions.selection import row_at
 
 
 # -- E1 / E2 ----------------------------------------------------------------
@@ -47,6 +47,13 @@ def split_xy(df: DataFrame, sort: bool = False, label: str = S.TARGET, vector: b
     return assembled.select(*[c(x) for x in (*keep, *extra)], "features"), cols
 
 
+def with_features(df: DataFrame, cols: Sequence[str], name: str = "features") -> DataFrame:
+    """All columns of ``df`` and the vector of ``cols`` beside them."""
+    safe = [f"__f{i}" for i in range(len(cols))]
+    wide = df.withColumns({s: c(x).cast("double") for s, x in zip(safe, cols)})
+    return VectorAssembler(inputCols=safe, outputCol=name, handleInvalid="keep").transform(wide).drop(*safe)
+
+
 # -- E4 ---------------------------------------------------------------------
 def filter_mask(df: DataFrame, cond: Column) -> DataFrame:
     return df.where(cond)
@@ -61,14 +68,13 @@ def sort_desc(df: DataFrame, col: str, tie: str = S.ID) -> DataFrame:
 # -- E6 ---------------------------------------------------------------------
 def top_fraction(df: DataFrame, score: str, frac: float, tie: str = S.ID) -> tuple[DataFrame, DataFrame]:
     """The first ``int(n * frac)`` rows by descending score (ties by ``tie``),
-    and the rest.  Ranks come from a range-partitioned sort with per-partition
-    offsets, so no single task sees all rows."""
-    n = df.count()
-    k = int(n * frac)
-    ranked = with_global_rank(df, [c(score).desc(), c(tie).asc()], name="__rank")
-    top = ranked.where(F.col("__rank") < k).drop("__rank")
-    rest = ranked.where(F.col("__rank") >= k).drop("__rank")
-    return top, rest
+    and the rest: two filters on the key of the row at the cut.  Rows that
+    repeat that very key (a repeated ``tie``) all belong to the rest."""
+    k = int(df.count() * frac)
+    cut = row_at(df, k, score, tie) if k else None
+    if cut is None:
+        return (df, df.where(F.lit(False))) if k else (df.where(F.lit(False)), df)
+    return df.where(cut.before()), df.where(~cut.before())
 
 
 # -- E7 ---------------------------------------------------------------------
