@@ -54,6 +54,8 @@ PERCENT = 85
 BITS = 512
 #: Rounds in which each n-gram's classes are compared with one head.
 ROUNDS = 3
+#: Prefix n-grams of a class by which a pair is told to be made already.
+FIRST = 64
 #: Most classes (24 bytes each) that are broadcast to pick their texts.
 BROADCAST_CLASSES = 500_000
 
@@ -238,7 +240,7 @@ def links(classes: DataFrame, base: DataFrame, ties: DataFrame, words: int, perc
 
     found, tested, turn = [ties], None, 0
     while True:
-        tops = materialize(_tops(pending), "tops")
+        tops = materialize(_tops(pending, turn), "tops")
         last = turn >= ROUNDS
         pairs = _all_pairs(pending, tops, chosen, percent) if last else _head_pairs(pending, tops, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -263,12 +265,18 @@ def links(classes: DataFrame, base: DataFrame, ties: DataFrame, words: int, perc
         pending = materialize(moved.select("gram", "node", F.coalesce("root", "node").alias("root"), "w", "at", "size"), "grams")
 
 
-def _tops(pending: DataFrame) -> DataFrame:
-    """N-grams whose classes are of several components: their head and largest component."""
+def _tops(pending: DataFrame, turn: int) -> DataFrame:
+    """N-grams whose classes are of several components: their largest component,
+    and their head: the class that shares most n-grams, after the first round
+    one outside of that component (a second group of near copies)."""
     per_root = pending.groupBy("gram", "root").agg(
         F.count("*").alias("c"), F.max(F.struct("w", F.negative("node").alias("last"), "node", "root", "at", "size")).alias("top"))
-    return per_root.groupBy(F.col("gram").alias("g")).agg(
+    tops = per_root.groupBy(F.col("gram").alias("g")).agg(
         F.count("*").alias("n_roots"), F.max("top").alias("head"), F.max(F.struct("c", "root")).alias("main")).where("n_roots > 1")
+    if not turn:
+        return tops
+    other = per_root.join(tops.drop("head"), F.col("gram") == F.col("g")).where("root <> main.root")
+    return other.groupBy("g").agg(F.first("n_roots").alias("n_roots"), F.max("top").alias("head"), F.first("main").alias("main"))
 
 
 def _head_pairs(pending: DataFrame, tops: DataFrame, percent: int) -> DataFrame:
@@ -281,14 +289,18 @@ def _all_pairs(pending: DataFrame, tops: DataFrame, chosen: DataFrame, percent:
     """Every pair of classes in different components that share a prefix n-gram:
     those outside of the n-gram's largest component with all others."""
     bits = chosen.select(F.col("node").alias("bn"), "bits")
+    first = pending.groupBy(F.col("node").alias("fn")).agg(F.sort_array(F.collect_list(F.struct("at", "gram"))).alias("own"))
+    bits = bits.join(first.select("fn", F.expr(f"transform(slice(own, 1, {FIRST}), x -> x.gram)").alias("first")), F.col("bn") == F.col("fn"))
     own = pending.join(tops, F.col("gram") == F.col("g")).join(bits, F.col("node") == F.col("bn")).select(
-        "gram", "node", "root", "at", "size", "bits", (F.col("root") == F.col("main.root")).alias("in_main"))
+        "gram", "node", "root", "at", "size", "bits", "first", (F.col("root") == F.col("main.root")).alias("in_main"))
     own = materialize(own, "crossing")
     other = own.where("NOT in_main").select(
         F.col("gram").alias("g"), F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("at").alias("at_b"),
-        F.col("size").alias("size_b"), F.col("bits").alias("bits_b"))
+        F.col("size").alias("size_b"), F.col("bits").alias("bits_b"), F.col("first").alias("first_b"))
+    # a pair is made once, by the rarest n-gram that both hold (as far as the first ones tell)
+    once = "coalesce(try_element_at(array_intersect(first, first_b), 1), gram) = gram"
     near = " AND ".join(["gram = g", "root <> root_b", "(in_main OR node < b)", _length("size", "size_b", percent),
-                         _position("size", "size_b", "at", "at_b", percent), _suffix("size", "size_b", "bits", "bits_b", percent)])
+                         _position("size", "size_b", "at", "at_b", percent), _suffix("size", "size_b", "bits", "bits_b", percent), once])
     return own.join(other, F.expr(near)).select(F.col("node").alias("a"), "b")
 
 
