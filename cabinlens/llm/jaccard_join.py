@@ -53,9 +53,9 @@ PERCENT = 85
 #: Bits of the parity sketch of the suffix filter.
 BITS = 512
 #: Rounds in which each n-gram's classes are compared with one head.
-ROUNDS = 3
+ROUNDS = 2
 #: Prefix n-grams of a class by which a pair is told to be made already.
-FIRST = 64
+FIRST = 16
 #: Most classes (24 bytes each) that are broadcast to pick their texts.
 BROADCAST_CLASSES = 500_000
 

@@ -213,7 +213,7 @@ def search(block: Block, ids: np.ndarray, items: Items, weights: np.ndarray, bes
 def _count(shared):
     """(d, n, term, tf): each document's terms that items hold, with counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value[1].vocabulary
+        vocabulary = Items(shared.value[1]).vocabulary
         for batch in batches:
             for start, stop in text_slices(batch["text"]):
                 part = batch.slice(start, stop - start)
@@ -259,7 +259,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], postings: int, docs: int) -> Iter
 def _search(shared, totals: tuple[int, int], df: dict[int, int], k: int, postings: int, docs: int):
     """(item, doc_id, score): a task's best of each item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, items = shared.value
+        names, items = shared.value[0], Items(shared.value[1])
         weights = np.array([weight(totals[0], df.get(i, 0)) for i in range(len(items.vocabulary))], np.int64)
         best = Best(len(items.sizes), k)
         for ids, n, sizes, term, tf in _blocks(batches, postings, docs):
@@ -300,7 +300,7 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id",
     found = []
     for rows in _parts(asked, part_terms):
         names = pa.array([r.item_id for r in rows])
-        shared = spark.sparkContext.broadcast((names, Items([r.text for r in rows])))
+        shared = spark.sparkContext.broadcast((names, [r.text for r in rows]))
         counted = materialize(own.mapInArrow(_count(shared), "d long, n long, term array<int>, tf array<int>"), "terms")
         total = counted.agg(F.count(F.when(F.col("n") > 0, 1)), F.sum("n")).first()
         # one row a term of the part
