@@ -591,11 +591,37 @@ def features_nn(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Exact KNN imputation fitted on train, applied to test.  Quadratic work,
-# so no oracle SQL; tests compare it with a brute-force computation.
-
-
-@register("knn_nonresponse")
+# Exact KNN imputation fitted on train, applied to test.  The oracle compares
+# every receiver pattern with every donor.
+
+
+def _knn_sql(k: int = 5) -> str:
+    cols, n = list(S.SURVEY), len(S.SURVEY)
+
+    def present(x: str) -> str:
+        return f"r.{q(x)} <> 0 AND t.{q(x)} <> 0"
+
+    answers = ", ".join(f"COALESCE({q(x)}, 0) AS {q(x)}" for x in cols)
+    total = " + ".join(f"CASE WHEN {present(x)} THEN (r.{q(x)} - t.{q(x)}) ** 2 ELSE 0 END" for x in cols)
+    shared = " + ".join(f"CAST({present(x)} AS INTEGER)" for x in cols)
+    both = ", ".join(f"r.{q(x)} AS r{i}, t.{q(x)} AS t{i}" for i, x in enumerate(cols))
+    near = ", ".join(f"min({{'d': d, 'id': id, 'v': t{i}}}, {k}) FILTER (WHERE r{i} = 0 AND t{i} <> 0) AS m{i}" for i in range(n))
+    own = ", ".join(f"r{i}" for i in range(n))
+    means = ", ".join(f"AVG(NULLIF({q(x)}, 0)) AS a{i}" for i, x in enumerate(cols))
+    out = ", ".join(
+        r6(f"CASE WHEN p.{q(x)} <> 0 THEN p.{q(x)} ELSE COALESCE(list_avg(list_transform(m{i}, lambda s: s.v)), a{i}) END") + f" AS {q(x)}"
+        for i, x in enumerate(cols))
+    return base(
+        f"people AS (SELECT id, {answers} FROM test)",
+        f"donors AS (SELECT id, {answers} FROM train)",
+        f"r AS (SELECT DISTINCT {', '.join(map(q, cols))} FROM people WHERE {' OR '.join(f'{q(x)} = 0' for x in cols)})",
+        f"pairs AS (SELECT t.id, {both}, {total} AS total, {shared} AS shared FROM r, donors t)",
+        f"near AS (SELECT {own}, {near} FROM (SELECT *, total * (CAST({n} AS DOUBLE) / shared) AS d FROM pairs WHERE shared > 0) GROUP BY ALL)",
+        f"means AS (SELECT {means} FROM donors)",
+    ) + f"SELECT p.id, {out} FROM people p CROSS JOIN means LEFT JOIN near ON " + " AND ".join(f"p.{q(x)} = r{i}" for i, x in enumerate(cols))
+
+
+@register("knn_nonresponse", _knn_sql())
 def knn_nonresponse(spark, sf):
     from cabinlens.operators.knn import KnnImputer
 

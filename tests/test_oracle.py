@@ -32,8 +32,8 @@ def con():
 
 def test_every_query_has_oracle_or_is_a_learner():
     rows_only = set(QUERIES) - set(ORACLE)
-    allowed = {  # learners, search and the quadratic KNN
-        "knn_nonresponse", "logistic_baseline_scores", "forest_scores", "boosted_trees_scores", "network_scores",
+    allowed = {  # learners and search
+        "logistic_baseline_scores", "forest_scores", "boosted_trees_scores", "network_scores",
         "feature_importance", "cv_accuracy", "voting_ensemble_scores", "random_search_trials", "feature_subset_trials",
         "adversarial_split_learned",
     }
