@@ -1,154 +1,29 @@
-"""Exact quantiles and modes that stay distributed for any column cardinality.
-
-Spark's exact ``percentile`` and ``mode`` aggregates keep a map of distinct
-values in their buffer, so the final task of a global aggregate holds every
-distinct value of the column.  That is fine for a bounded domain (survey
-answers, ages) and fatal for ``id``-like columns.  These helpers check the
-cardinality first (``approx_count_distinct``, one pass for all columns): small
-columns use the built-in aggregate; large ones are computed exactly from the
-distinct ``(feature, value, count)`` table, which is built by a map-side
-combined ``groupBy`` and ordered by a range-partitioned prefix sum, so no task
-ever sees more than its share.
-"""
+"""Exact quantiles and modes of several columns, for any cardinality: both are
+read from one :class:`~cabinlens.functions.value_table.ValueTable`, so the frame
+is scanned once and no task holds a column's distinct values."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabinlens.functions.exprs import q, sql_literal
-from cabinlens.functions.ordered import with_prefix_sums
-
-# columns with at most this many distinct values use the built-in aggregates
-SMALL_DOMAIN = 100_000
-
-
-def approx_cardinalities(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    row = df.agg(*[F.expr(f"approx_count_distinct({q(x)})").alias(f"d{i}") for i, x in enumerate(cols)]).first()
-    return {x: int(row[f"d{i}"]) for i, x in enumerate(cols)}
-
-
-def _split(df: DataFrame, cols: Sequence[str], small: int) -> tuple[list[str], list[str]]:
-    if not cols:
-        return [], []
-    card = approx_cardinalities(df, cols)
-    return [x for x in cols if card[x] <= small], [x for x in cols if card[x] > small]
-
-
-def _value_counts(df: DataFrame, cols: Sequence[str], value_type: str) -> DataFrame:
-    pairs = ", ".join(f"{i}, CAST({q(x)} AS {value_type})" for i, x in enumerate(cols))
-    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (k, value)").where("value IS NOT NULL")
-    return long.groupBy("k", "value").agg(F.count("*").alias("n"))
-
+from cabinlens.functions.exprs import q
+from cabinlens.functions.value_table import ValueTable
 
-def _linear(values_at: dict[int, float], n: int, p: float) -> float | None:
-    if n == 0:
-        return None
-    pos = (n - 1) * p
-    lo, hi = math.floor(pos), math.ceil(pos)
-    a, b = values_at[lo], values_at[hi]
-    return a + (b - a) * (pos - lo)
 
-
-def distributed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
-    """Exact linear-interpolated quantiles from ranked distinct values."""
-    if not cols:
-        return {}
-    counts = _value_counts(df, cols, "double")
-    totals = {r["k"]: r["n"] for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect()}
-    # global exclusive prefix over (k, value); each column's start is the sum of earlier totals
-    ranked = with_prefix_sums(counts, [F.col("k").asc(), F.col("value").asc()], ["n"])
-    start, offset = 0, {}
-    for k in range(len(cols)):
-        offset[k] = start
-        start += totals.get(k, 0)
-    targets: dict[int, set[int]] = {}
-    for k in range(len(cols)):
-        n = totals.get(k, 0)
-        for p in probs:
-            if n:
-                pos = (n - 1) * p
-                targets.setdefault(k, set()).update({math.floor(pos), math.ceil(pos)})
-    conds = []
-    for k, ranks in targets.items():
-        for r in sorted(ranks):
-            g = offset[k] + r
-            conds.append(f"(k = {k} AND n_before <= {g} AND {g} < n_before + n)")
-    found = ranked.where(" OR ".join(conds)).select("k", "value", "n_before", "n").collect() if conds else []
-    out: dict[str, list] = {}
-    for k, x in enumerate(cols):
-        n = totals.get(k, 0)
-        values_at = {}
-        for row in found:
-            if row["k"] != k:
-                continue
-            for r in targets.get(k, ()):
-                g = offset[k] + r
-                if row["n_before"] <= g < row["n_before"] + row["n"]:
-                    values_at[r] = row["value"]
-        out[x] = [_linear(values_at, n, p) for p in probs]
-    return out
-
-
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], small: int = SMALL_DOMAIN,
-              approx: bool = False) -> dict[str, list]:
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], approx: bool = False) -> dict[str, list]:
     """Exact (linear) quantiles per column; ``approx`` uses ``percentile_approx``."""
     cols = list(cols)
+    if not approx:
+        return ValueTable.of(df, cols).quantiles(probs) if cols else {}
     arr = "array(" + ", ".join(f"{float(p)!r}D" for p in probs) + ")"
-    if approx:
-        row = df.agg(*[F.expr(f"percentile_approx(CAST({q(x)} AS DOUBLE), {arr}, 10000)").alias(f"q{i}")
-                       for i, x in enumerate(cols)]).first()
-        return {x: list(row[f"q{i}"] or [None] * len(probs)) for i, x in enumerate(cols)}
-    low, high = _split(df, cols, small)
-    out: dict[str, list] = {}
-    if low:
-        row = df.agg(*[F.expr(f"percentile(CAST({q(x)} AS DOUBLE), {arr})").alias(f"q{i}")
-                       for i, x in enumerate(low)]).first()
-        out.update({x: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
-                    for i, x in enumerate(low)})
-    out.update(distributed_quantiles(df, high, probs))
-    return {x: out[x] for x in cols}
-
-
-def distributed_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
-    """Most frequent non-NULL value, the lowest on ties, via ``(value, count)``
-    groups and an algebraic ``min_by`` (one candidate per task and column)."""
-    if not cols:
-        return {}
-    types = dict(df.dtypes)
-    out = {}
-    for kind in ("string", "double"):
-        group = [x for x in cols if (types[x] == "string") == (kind == "string")]
-        if not group:
-            continue
-        counts = _value_counts(df, group, kind)
-        best = counts.groupBy("k").agg(F.expr("min_by(value, struct(-n, value))").alias("mode")).collect()
-        found = {r["k"]: r["mode"] for r in best}
-        for k, x in enumerate(group):
-            v = found.get(k)
-            if v is not None and types[x] in ("int", "bigint", "smallint", "tinyint"):
-                v = int(v)
-            out[x] = v
-    return {x: out.get(x) for x in cols}
-
-
-def modes(df: DataFrame, cols: Sequence[str], small: int | None = None) -> dict[str, object]:
-    """Modes of several columns.  By default always the distributed path: one
-    job, bounded memory for any cardinality, no separate cardinality pass.
-    ``small`` switches on the built-in ``mode`` for columns up to that size."""
-    cols = list(cols)
-    if small is None:
-        return distributed_modes(df, cols)
-    low, high = _split(df, cols, small)
-    out: dict[str, object] = {}
-    if low:
-        row = df.agg(*[F.expr(f"mode({q(x)}, true)").alias(f"m{i}") for i, x in enumerate(low)]).first()
-        out.update({x: row[f"m{i}"] for i, x in enumerate(low)})
-    out.update(distributed_modes(df, high))
-    return {x: out[x] for x in cols}
+    row = df.agg(*[F.expr(f"percentile_approx(CAST({q(x)} AS DOUBLE), {arr}, 10000)").alias(f"q{i}")
+                   for i, x in enumerate(cols)]).first()
+    return {x: list(row[f"q{i}"] or [None] * len(probs)) for i, x in enumerate(cols)}
 
 
-__all__ = ["quantiles", "modes", "distributed_quantiles", "distributed_modes", "approx_cardinalities", "sql_literal"]
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
+    """Most frequent non-NULL value per column in its own type, the lowest on ties."""
+    return ValueTable.of(df, cols).modes() if cols else {}

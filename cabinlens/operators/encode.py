@@ -1,9 +1,10 @@
 """Categorical encodings.
 
-Category lists are fitted by a distinct-value aggregation and brought to the
-driver only behind a size check (``collect_bounded``); they then become
-literals in one wide ``select``, so applying an encoder is a pure projection
-that needs no join and no shuffle.
+Encodings that make a column per category (one-hot, dummies) bring the category
+list to the driver behind a size check (``collect_bounded``); it becomes literals
+in one wide ``select``.  Encodings that make one number per value (codes,
+frequencies) keep their fitted table as a DataFrame of any size and look values
+up by a hash join.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from cabinlens import schema as S
 from cabinlens.functions.exprs import c, q, sql_literal
 from cabinlens.functions.guards import MAX_CATEGORIES, collect_bounded, join_small
+from cabinlens.functions.value_table import ValueTable
 
 
 _INTS = ("int", "bigint", "smallint", "tinyint")
@@ -63,18 +65,6 @@ def distinct_values(df: DataFrame, cols: Sequence[str], keep_null: bool = False)
     return out
 
 
-def value_frequencies(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    """Counts of each non-NULL value of several columns in one job."""
-    counts = _tagged(df, cols).where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("n"))
-    rows = collect_bounded(counts, MAX_CATEGORIES * len(cols), "frequency tables")
-    types = dict(df.dtypes)
-    out: dict[str, dict] = {x: {} for x in cols}
-    for r in rows:
-        x = cols[r["k"]]
-        out[x][_typed(r["v"], types[x])] = r["n"]
-    return out
-
-
 def _sorted_distinct(df: DataFrame, col: str, keep_null: bool = False) -> list:
     return distinct_values(df, [col], keep_null)[col]
 
@@ -123,22 +113,32 @@ def decode_rating(df: DataFrame, col: str = S.TARGET) -> DataFrame:
 
 
 # -- C2 ---------------------------------------------------------------------
+def _looked_up(df: DataFrame, tables: Mapping[str, DataFrame], value: str, out: Mapping[str, str], default=None) -> DataFrame:
+    """``df`` with, for each column, ``value`` of its row in the fitted table as
+    column ``out[column]``: one hash join a column, which Spark broadcasts where
+    the table is small."""
+    wide = df
+    for i, (x, table) in enumerate(tables.items()):
+        wide = wide.join(table.select(F.col("v").alias(f"__v{i}"), F.col(value).alias(f"__c{i}")), c(x) == F.col(f"__v{i}"), "left")
+    found = {out[x]: F.col(f"__c{i}") if default is None else F.coalesce(f"__c{i}", F.lit(default)) for i, x in enumerate(tables)}
+    return wide.select(*[found[x].alias(x) if x in found else c(x) for x in df.columns],
+                       *[v.alias(x) for x, v in found.items() if x not in df.columns])
+
+
 @dataclass
 class CategoryCodes:
-    """Sorted category position + 1; NULL and unseen values give 0."""
+    """Sorted category position + 1; NULL and unseen values give 0.  ``tables``
+    has for each column (v, code), of any number of categories."""
 
-    categories: dict[str, list] = field(default_factory=dict)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "CategoryCodes":
-        return cls(distinct_values(df, cols))
+        cols = list(cols)
+        return cls(dict(zip(cols, ValueTable.of(df, cols).codes())) if cols else {})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        exprs = {}
-        for x, cats in self.categories.items():
-            arr = F.array(*[F.lit(v) for v in cats]) if cats else F.array().cast(T.ArrayType(T.StringType()))
-            exprs[x] = F.coalesce(F.array_position(arr, c(x)), F.lit(0)).cast("int")
-        return df.withColumns(exprs)
+        return _looked_up(df, self.tables, "code", {x: x for x in self.tables}, default=0)
 
 
 # -- C3 ---------------------------------------------------------------------
@@ -227,46 +227,18 @@ def survey_dummies(df: DataFrame, cols: Sequence[str] | None = None, domain: Seq
 # -- C7 ---------------------------------------------------------------------
 @dataclass
 class FrequencyEncoder:
-    """``<col>_freq`` = share of the value among non-NULL rows; NULL stays NULL.
-
-    Share tables of bounded size become literal maps (a projection); a column
-    with more distinct values than the bound keeps its share table as a
-    DataFrame and is joined (shuffle join, AQE may broadcast it at run time).
-    """
+    """``<col>_freq`` = share of the value among non-NULL rows; NULL and unseen
+    values give NULL.  ``tables`` has for each column (v, share)."""
 
-    shares: dict[str, dict] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "FrequencyEncoder":
-        from cabinlens.functions.stats import approx_cardinalities
-
-        card = approx_cardinalities(df, cols)
-        small = [x for x in cols if card[x] <= MAX_CATEGORIES // 2]
-        large = [x for x in cols if x not in small]
-        shares = {}
-        for x, counts in value_frequencies(df, small).items() if small else []:
-            total = sum(counts.values())
-            shares[x] = {v: n / total for v, n in counts.items()}
-        tables = {}
-        for x in large:
-            counts = df.where(c(x).isNotNull()).groupBy(c(x).alias(x)).agg(F.count("*").alias("__n"))
-            total = counts.agg(F.sum("__n")).first()[0]
-            tables[x] = counts.select(c(x), (F.col("__n") / F.lit(float(total))).alias(f"{x}_freq"))
-        return cls(shares, tables)
+        cols = list(cols)
+        return cls(dict(zip(cols, ValueTable.of(df, cols).shares())) if cols else {})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        exprs = {}
-        for x, table in self.shares.items():
-            if not table:
-                exprs[f"{x}_freq"] = F.lit(None).cast("double")
-                continue
-            m = F.create_map(*[t for k, v in table.items() for t in (F.lit(k), F.lit(float(v)))])
-            exprs[f"{x}_freq"] = F.when(c(x).isNotNull(), F.try_element_at(m, c(x)))
-        out = df.withColumns(exprs) if exprs else df
-        for x, table in self.tables.items():
-            out = out.join(table, x, "left")
-        return out
+        return _looked_up(df, self.tables, "share", {x: f"{x}_freq" for x in self.tables})
 
 
 def frequency_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

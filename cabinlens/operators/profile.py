@@ -47,48 +47,37 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 # -- G2 / G5 ----------------------------------------------------------------
-def _moments_aggs(x: str, i: int) -> list[Column]:
-    v = f"CAST({q(x)} AS DOUBLE)"
-    texts = {
-        "count": f"count({v})", "mean": f"avg({v})", "std": f"stddev_samp({v})", "min": f"min({v})",
-        "max": f"max({v})", "g1": f"skewness({v})", "g2": f"kurtosis({v})",
-    }
-    return [F.expr(t).alias(f"{k}__{i}") for k, t in texts.items()]
-
-
-def _wide_stats(df: DataFrame, cols: Sequence[str], approx: bool) -> DataFrame:
-    """One wide row of moments; quartiles come from ``stats.quantiles`` (built-in
-    exact percentile for bounded domains, a distributed exact path otherwise)."""
+def _named(df: DataFrame, cols: Sequence[str], key: str = "k", name: str = "column") -> DataFrame:
+    """``df`` with one row for each of ``cols``, by their number (bounded by the columns)."""
+    names = df.sparkSession.createDataFrame([(i, x) for i, x in enumerate(cols)], f"`__k` int, `{name}` string")
+    return F.broadcast(names).join(df, F.col("__k") == F.col(key), "left").drop("__k", key)
+
+
+def _stats(df: DataFrame, cols: Sequence[str], approx: bool) -> DataFrame:
+    """(column, count, moments, quartiles) from one pass over ``df``."""
     from cabinlens.functions.stats import quantiles
+    from cabinlens.functions.value_table import ValueTable
+
+    values = ValueTable.of(df, cols)
+    points = quantiles(df, cols, QUARTILES, approx=True) if approx else values.quantiles(QUARTILES)
+    rows = [(x, *points[x]) for x in cols]
+    table = df.sparkSession.createDataFrame(rows, "column string, q25 double, q50 double, q75 double")
+    return _named(values.moments(), cols).join(F.broadcast(table), "column").withColumn("count", F.coalesce("count", F.lit(0)))
+
 
-    aggs = [a for i, x in enumerate(cols) for a in _moments_aggs(x, i)]
-    row = df.agg(*aggs)
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
-    exprs = []
-    for i, x in enumerate(cols):
-        for j, p in enumerate((25, 50, 75)):
-            v = qs[x][j]
-            exprs.append(f"{'CAST(NULL AS DOUBLE)' if v is None else repr(float(v)) + 'D'} AS q{p}__{i}")
-    return row.selectExpr("*", *exprs)
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per numeric column."""
     cols = list(cols or numeric_columns(df))
-    wide = _wide_stats(df, cols, approx)
-    fields = {"count": "long", "mean": "double", "std": "double", "min": "double",
-              "q25": "double", "q50": "double", "q75": "double", "max": "double"}
-    return _long(wide, cols, fields)
+    return _stats(df, cols, approx).select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """mean, median, sample std, min, max, quartiles, IQR and the bias-corrected
     skewness and excess kurtosis (the sample estimators G1 and G2)."""
-    cols = list(cols)
-    wide = _wide_stats(df, cols, approx)
-    fields = {"count": "long", "mean": "double", "q50": "double", "std": "double", "min": "double",
-              "max": "double", "q25": "double", "q75": "double", "g1": "double", "g2": "double"}
-    out = _long(wide, cols, fields)
+    out = _stats(df, list(cols), approx)
     n = F.col("count").cast("double")
     skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
@@ -116,57 +105,50 @@ def _unpivot(df: DataFrame, cols: Sequence[str], value_type: str = "double", ext
 
 
 def survey_report(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(counts per column and answer, and mean/median/mode per column)."""
-    counts = (
-        _unpivot(df, cols, "int").where(F.col("value").isNotNull())
-        .groupBy("feature", "value").agg(F.count("*").alias("count"))
-        .withColumnRenamed("feature", "column")
-    )
-    from cabinlens.functions.stats import modes as mode_of, quantiles
+    """(counts per column and answer, and mean/median/mode per column), all from
+    one value table."""
+    from cabinlens.functions.value_table import ValueTable
 
-    med = quantiles(df, cols, [0.5])
-    mod = mode_of(df, cols)
-    aggs = [F.expr(f"round(avg({q(x)}), 2)").alias(f"mean__{i}") for i, x in enumerate(cols)]
-    lits = []
-    for i, x in enumerate(cols):
-        lits.append(f"{sql_literal(None if med[x][0] is None else float(med[x][0]))} AS median__{i}")
-        lits.append(f"{sql_literal(mod[x])} AS mode__{i}")
-    stats = _long(df.agg(*aggs).selectExpr("*", *lits), cols, {"mean": "double", "median": "double", "mode": "int"})
-    return counts, stats
+    cols = list(cols)
+    values = ValueTable.of(df, cols)
+    counts = _named(values.numbers(), cols).where("value IS NOT NULL").select("column", F.col("value").cast("int").alias("value"), F.col("n").alias("count"))
+    middle, most = values.quantiles([0.5]), values.modes()
+    rows = [(x, middle[x][0], None if most[x] is None else int(most[x])) for x in cols]
+    points = df.sparkSession.createDataFrame(rows, "column string, median double, mode int")
+    means = _named(values.moments(), cols).select("column", F.round("mean", 2).alias("mean"))
+    return counts, means.join(F.broadcast(points), "column")
 
 
 # -- G6 ---------------------------------------------------------------------
 def compare_moments(train: DataFrame, test: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Per feature, for both sides: mean, sample std, biased skewness and excess
     kurtosis.  A NULL in the column makes that side's skew/kurtosis NULL."""
+    from cabinlens.functions.value_table import ValueTable
+
     cols = list(cols or numeric_columns(train))
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        # long form + groupBy(feature): a narrow aggregate whatever the width,
-        # combined map-side to one row per feature before the shuffle
-        long = _unpivot(df, cols)
-        has_null = F.count(F.lit(1)) != F.count("value")
-        return long.groupBy(F.col("feature").alias("column")).agg(
-            F.avg("value").alias(f"{tag}_mean"),
-            F.stddev_samp("value").alias(f"{tag}_std"),
-            F.when(~has_null, F.skewness("value")).alias(f"{tag}_skew"),
-            F.when(~has_null, F.kurtosis("value")).alias(f"{tag}_kurt"),
-        )
+        values = ValueTable.of(df, cols)
+        # NaN counts as a number, NULL does not
+        nulls = values.table.where("l IS NULL AND d IS NULL AND s IS NULL").select(F.col("k").alias("nk"))
+        m = values.moments().join(F.broadcast(nulls), F.col("k") == F.col("nk"), "left")
+        whole = F.col("nk").isNull()
+        m = m.select("k", F.col("mean").alias(f"{tag}_mean"), F.col("std").alias(f"{tag}_std"),
+                     F.when(whole, F.col("g1")).alias(f"{tag}_skew"), F.when(whole, F.col("g2")).alias(f"{tag}_kurt"))
+        return _named(m, cols)
 
-    return side(train, "train").join(side(test, "test"), "column")
+    return side(train, "train").join(F.broadcast(side(test, "test")), "column")
 
 
 # -- G7 / F3 ----------------------------------------------------------------
 def value_shares(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(feature, value, share)`` among non-NULL values of each feature."""
-    long = _unpivot(df, cols).where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    # totals come from the (small) counts table, so the input is read once;
-    # one row per feature, a bounded broadcast
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), "feature").select(
-        "feature", "value", (F.col("n") / F.col("total")).alias("share")
-    )
+    from cabinlens.functions.value_table import ValueTable
+
+    counts = ValueTable.of(df, list(cols)).numbers()
+    totals = counts.groupBy(F.col("k").alias("tk")).agg(F.sum("n").alias("total"))  # one row per feature
+    shares = counts.join(F.broadcast(totals), F.col("k") == F.col("tk"))
+    return _named(shares.select("k", "value", (F.col("n") / F.col("total")).alias("share")), list(cols), name="feature").where("share IS NOT NULL")
 
 
 def inner_on_value(a: DataFrame, b: DataFrame, suffixes=("_a", "_b")) -> DataFrame:
@@ -181,29 +163,27 @@ def stability_index(train: DataFrame, test: DataFrame, cols: Sequence[str] | Non
     """Per feature: sum over shared values of (p_train - p_test)^2, divided by
     the train row count.  ``outer=True`` also counts one-sided values.
 
-    Both sides are unpivoted into one stream and counted in a single
-    ``groupBy(feature, value)`` with per-side conditional counts, so values
-    align without a join; the per-feature totals and sums work on that
-    aggregated table only.
+    Each side is scanned once into its value table; the tables' counts meet in
+    one ``groupBy(feature, value)``.
     """
+    from cabinlens.functions.value_table import ValueTable
+
     cols = list(cols or numeric_columns(train))
-    n_train = train.count()
-    both = _unpivot(train, cols).withColumn("side", F.lit(0)).unionByName(
-        _unpivot(test, cols).withColumn("side", F.lit(1)))
-    counts = both.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-        F.sum(1 - F.col("side")).alias("na"), F.sum("side").alias("nb"))
-    w_totals = counts.groupBy("feature").agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))
-    shares = counts.join(F.broadcast(w_totals), "feature").select(  # one row per feature
-        "feature", "na", "nb",
-        F.try_divide(F.col("na"), F.col("ta")).alias("pa"), F.try_divide(F.col("nb"), F.col("tb")).alias("pb"))
+    own, other = ValueTable.of(train, cols), ValueTable.of(test, cols)
+    n_train = own.table.where("k = 0").agg(F.sum("n")).first()[0] or 0
+    zero = F.lit(0).cast("long")
+    both = own.numbers().select("k", "value", F.col("n").alias("a"), zero.alias("b")).unionAll(
+        other.numbers().select("k", "value", zero, "n"))
+    counts = both.groupBy("k", "value").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
+    totals = counts.groupBy(F.col("k").alias("tk")).agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))  # one row per feature
+    shares = counts.join(F.broadcast(totals), F.col("k") == F.col("tk")).select(
+        "k", "na", "nb", F.try_divide(F.col("na"), F.col("ta")).alias("pa"), F.try_divide(F.col("nb"), F.col("tb")).alias("pb"))
     if not outer:
         shares = shares.where((F.col("na") > 0) & (F.col("nb") > 0))
     sq = (F.coalesce(F.col("pa"), F.lit(0.0)) - F.coalesce(F.col("pb"), F.lit(0.0))) ** 2
-    found = shares.groupBy("feature").agg(F.sum(sq).alias("ss"))
-    names = train.sparkSession.createDataFrame([(x,) for x in cols], "feature string")
-    return names.join(found, "feature", "left").select(
-        "feature", (F.coalesce(F.col("ss"), F.lit(0.0)) / F.lit(float(n_train))).alias("stability_index")
-    )
+    found = shares.groupBy("k").agg(F.sum(sq).alias("ss"))
+    return _named(found, cols, name="feature").select(
+        "feature", F.try_divide(F.coalesce(F.col("ss"), F.lit(0.0)), F.lit(float(n_train))).alias("stability_index"))
 
 
 # -- G8 ---------------------------------------------------------------------
@@ -317,15 +297,18 @@ def density_table(train: DataFrame, test: DataFrame, feature: str, gridsize: int
 # -- G11 / G12 --------------------------------------------------------------
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> int:
     """Distinct values, NULL counted as one value."""
-    distinct = F.approx_count_distinct(c(col)) if approx else F.count_distinct(c(col))
-    row = df.agg(distinct.alias("d"), F.max(c(col).isNull().cast("int")).alias("z")).first()
+    if not approx:
+        return distinct_counts(df, [col]).first()["distinct"]
+    row = df.agg(F.approx_count_distinct(c(col)).alias("d"), F.max(c(col).isNull().cast("int")).alias("z")).first()
     return int(row["d"]) + int(row["z"] or 0)
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    aggs = [F.expr(f"count(DISTINCT {q(x)}) + max(CASE WHEN {q(x)} IS NULL THEN 1 ELSE 0 END)").alias(f"distinct__{i}")
-            for i, x in enumerate(cols)]
-    return _long(df.agg(*aggs), cols, {"distinct": "long"})
+    """(column, distinct), NULL being one value; 0 for a table without rows."""
+    from cabinlens.functions.value_table import ValueTable
+
+    found = ValueTable.of(df, cols).distinct()
+    return _named(found, cols).select("column", F.coalesce("distinct", F.lit(0)).alias("distinct"))
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -80,30 +80,64 @@ def test_scan_prunes_columns(spark, sf):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
-def test_distributed_quantiles_and_modes_match_builtin(spark, sf):
+def test_quantiles_and_modes_match_builtin(spark, sf):
     from cabinlens.functions import stats
 
     df = train_frame(spark, sf)
     cols = ["id", "Age", "Arrival_Delay_in_Minutes", "Online_Boarding"]
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    small = stats.quantiles(df, cols, probs, small=10**9)     # built-in percentile
-    big = stats.quantiles(df, cols, probs, small=0)           # distributed exact path
+    found = stats.quantiles(df, cols, probs)
+    row = df.agg(*[F.expr(f"percentile(CAST({x} AS DOUBLE), array({', '.join(map(str, probs))}))").alias(x) for x in cols],
+                 *[F.expr(f"mode({x}, true)").alias(f"m_{x}") for x in [*cols, "Class"]]).first()
     for x in cols:
-        assert big[x] == pytest.approx(small[x], abs=1e-9)
-    assert stats.modes(df, cols, small=10**9) == stats.modes(df, cols, small=0)
-    assert stats.modes(df, ["Class"], small=0) == stats.modes(df, ["Class"], small=10**9)
-
-
-def test_frequency_encoder_join_path_matches_literal_path(spark, sf):
+        assert found[x] == pytest.approx(row[x], abs=1e-9)
+    assert stats.modes(df, [*cols, "Class"]) == {x: row[f"m_{x}"] for x in [*cols, "Class"]}
+
+
+def test_value_table_keeps_types(spark):
+    """Longs beyond 2**53, NaN, -0.0, text, booleans, NULL and empty tables."""
+    from cabinlens.functions.value_table import ValueTable
+    from cabinlens.operators import profile as P
+
+    big = 9007199254740993
+    rows = [(big, 0.0, "b", True), (big, -0.0, "b", None), (big - 1, float("nan"), None, True), (None, float("nan"), "a", False), (5, float("nan"), "a", None)]
+    df = spark.createDataFrame(rows, "x long, y double, s string, t boolean")
+    values = ValueTable.of(df, df.columns)
+    found = values.modes()
+    assert found["x"] == big and found["s"] == "a" and found["t"] is True and found["y"] != found["y"]
+    assert {r["column"]: r["distinct"] for r in P.distinct_counts(df, df.columns).collect()} == {"x": 4, "y": 2, "s": 3, "t": 3}
+    codes = [sorted(tuple(r) for r in t.collect()) for t in values.codes()]
+    assert codes[0] == [(5, 1), (big - 1, 2), (big, 3)] and codes[2] == [("a", 1), ("b", 2)]
+    none = ValueTable.of(df.limit(0), df.columns)
+    assert none.modes() == {x: None for x in df.columns} and none.quantiles([0.5])["x"] == [None]
+    assert P.distinct_counts(df.limit(0), ["x"]).first()["distinct"] == 0
+
+
+def test_moments_of_a_value_table_match_builtin(spark, sf):
+    from cabinlens.functions.value_table import ValueTable
+
+    df = train_frame(spark, sf).withColumn("constant", F.lit(0.1)).withColumn("none", F.lit(None).cast("double"))
+    cols = ["id", "Age", "Flight_Distance", "Arrival_Delay_in_Minutes", "constant", "none"]
+    got = {cols[r["k"]]: r for r in ValueTable.of(df, cols).moments().collect()}
+    assert "none" not in got and got["constant"]["std"] == pytest.approx(0, abs=1e-12) and got["constant"]["g1"] is None
+    for x in cols[:4]:
+        want = df.agg(F.avg(x), F.stddev_samp(x), F.min(x), F.max(x), F.skewness(x), F.kurtosis(x), F.count(x)).first()
+        assert [got[x][y] for y in ("mean", "std", "min", "max", "g1", "g2", "count")] == pytest.approx(list(want), rel=1e-9)
+
+
+def test_more_than_ten_thousand_categories(spark):
+    """Codes and frequencies of any number of categories, unseen and NULL values."""
     from cabinlens.operators import encode as E2
 
-    df = train_frame(spark, sf).select("id", "Class", "Age")
-    lit = E2.FrequencyEncoder.fit(df, ["Class", "Age"])
-    assert not lit.tables
-    joined = E2.FrequencyEncoder({}, {
-        x: df.groupBy(x).count().select(x, (F.col("count") / df.count()).alias(f"{x}_freq")) for x in ["Class", "Age"]
-    })
-    a = sorted(lit.transform(df).collect())
-    b = sorted(joined.transform(df).select(*lit.transform(df).columns).collect())
-    assert [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in a] == \
-           [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in b]
+    df = spark.range(24000).select("id", F.when(F.col("id") > 0, F.concat(F.lit("c"), F.col("id") % 12000)).alias("x"), (F.col("id") % 7).alias("y"))
+    fitted = E2.CategoryCodes.fit(df, ["x", "y"])
+    more = df.unionAll(spark.createDataFrame([(-1, "unseen", 99)], "id long, x string, y long"))
+    got = {r["id"]: r for r in fitted.transform(more).collect()}
+    place = {v: i for i, v in enumerate(sorted(f"c{i}" for i in range(12000)), 1)}
+    assert got[0]["x"] == 0 and got[-1]["x"] == 0 and got[-1]["y"] == 0 and len(got) == 24001
+    assert all(got[i]["x"] == place[f"c{i % 12000}"] and got[i]["y"] == i % 7 + 1 for i in range(1, 24000))
+    freq = E2.FrequencyEncoder.fit(df, ["x", "y"]).transform(more)
+    assert freq.columns == ["id", "x", "y", "x_freq", "y_freq"]
+    rows = {r["id"]: r for r in freq.collect()}
+    assert rows[0]["x_freq"] is None and rows[-1]["x_freq"] is None and rows[5]["x_freq"] == pytest.approx(2 / 23999)
+    assert rows[12000]["x_freq"] == pytest.approx(1 / 23999) and rows[3]["y_freq"] == pytest.approx(3429 / 24000)
