@@ -145,7 +145,7 @@ def _sketch(words: int, percent: int):
     """(d, x, c1, c2, size, low, bits) of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in text_slices(batch["text"], 1 << 20):
+            for start, stop in text_slices(batch["text"], 1 << 18):
                 part = batch.slice(start, stop - start)
                 hashes, offsets = shingle_sets(part["text"], words)
                 size = np.diff(offsets)
@@ -165,7 +165,7 @@ def _sketch(words: int, percent: int):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in text_slices(batch["text"], 1 << 20):
+            for start, stop in text_slices(batch["text"], 1 << 18):
                 part = batch.slice(start, stop - start)
                 hashes, offsets = shingle_sets(part["text"], words)
                 yield pa.RecordBatch.from_arrays(
