@@ -38,7 +38,7 @@ from cabinlens.llm.common import list_array, ragged, text_slices
 #: Pieces of more bytes are merged one by one with a heap.
 LONG_WORD = 200
 #: Bytes of text that are encoded at a time; each slice is handed on before the next.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: White space as the pattern's engine defines it (the Unicode property).
 _SPACES = r"\t-\r\x20\x85\xa0  -     　"
 

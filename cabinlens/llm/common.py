@@ -38,9 +38,10 @@ def text_slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int
     yield from _ranges(sizes, max_bytes)
 
 
-def list_slices(lists: pa.Array, max_items: int = 1 << 19) -> Iterator[tuple[int, int]]:
+def list_slices(lists: pa.Array, max_items: int = 1 << 19, per_row: int = 0) -> Iterator[tuple[int, int]]:
+    """The same by list items; a row counts as ``per_row`` items more."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    yield from _ranges(sizes, max_items)
+    yield from _ranges(sizes + per_row, max_items)
 
 
 def _ranges(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:

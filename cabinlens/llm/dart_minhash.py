@@ -91,6 +91,8 @@ def _units(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return np.where(copy > 0, mix(h + copy.astype(np.uint64) * SECOND), h), r
 
 
+#: Darts of a document, whatever its length: rows are taken together up to a number of darts.
+DARTS = int(K * (math.log(K) + 2))
 #: The rank axis is cut at 2**-9, 2**-8, ..., 1, 2, 3, ...
 FIRST = 9
 
@@ -167,7 +169,7 @@ def _row_hashes(values: np.ndarray, offsets: np.ndarray, mult: np.uint64) -> np.
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(d, c1, c2, bands): class of the word sequence and its bucket keys."""
     for batch in batches:
-        for a, b in list_slices(batch["h"]):
+        for a, b in list_slices(batch["h"], 1 << 18, DARTS):
             part = batch.slice(a, b - a)
             values, offsets = flat_lists(part["h"])
             values = values.view(np.uint64)

@@ -34,6 +34,8 @@ from cabinlens.llm.ngrams import SPACE, grams, normalized
 ORDERS = 3
 BITS = 15
 UNKNOWN = "und"
+#: Bytes of text that a task works on at a time.
+SLICE_BYTES = 1 << 18
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -63,7 +65,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     total, docs = np.zeros(1 << BITS, np.int64), 0
     for batch in batches:
         docs += batch.num_rows
-        for a, b in text_slices(batch["text"], 1 << 20):
+        for a, b in text_slices(batch["text"], SLICE_BYTES):
             texts = batch["text"].slice(a, b - a).to_pylist()
             for i in range(0, len(texts), 256):  # a bit for each document and bucket
                 row, bucket, _ = features(texts[i:i + 256])
@@ -196,7 +198,7 @@ def identify(docs: DataFrame, folds: int = 5, held: int = 0, doc_id: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in text_slices(batch["text"], 1 << 20):
+            for a, b in text_slices(batch["text"], SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 names, scores = model.predict(part["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["held_out"], pa.array(names, pa.string()), pa.array(scores)],
@@ -215,7 +217,7 @@ def keep_known(docs: DataFrame, least: float = 0.5, **how) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in text_slices(batch.column(position), 1 << 20):
+            for a, b in text_slices(batch.column(position), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 names, scores = model.predict(part.column(position).to_pylist())
                 yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)], pa.bool_()))
