@@ -138,42 +138,30 @@ def threshold_search(df: DataFrame, candidates: Sequence[float], y: str = "y", p
                      fold: str = "fold", strict: bool = False) -> DataFrame:
     """Mean over folds of the accuracy at each candidate threshold.
 
-    Fold models do not depend on the threshold, so out-of-fold scores are
-    made once and every cut is evaluated from them.  Each row gets the number
-    of candidates at or below its score (a search in a sorted literal array,
-    no join); class counts per ``(fold, bucket)`` form a table of at most
-    folds x (candidates + 1) rows, whose running sums give every threshold's
-    accuracy: positives with bucket >= j plus negatives with bucket < j.
+    Fold models do not depend on the threshold, so out-of-fold scores are made
+    once and every cut is evaluated from them.  Rows collapse to class counts per
+    fold and score; the cuts are merged into the sorted scores, and the prefix
+    sums at a cut are the rows of each class that it labels 0.  A row's cost does
+    not depend on the number of cuts.  NULL scores are labelled 0, NaN 1.
     """
-    from pyspark.sql import Window
-
-    cands = sorted(float(t) for t in candidates)
-    m = len(cands)
-    arr = F.array(*[F.lit(t) for t in cands])
-    bucket = F.size(F.filter(arr, (lambda x: x < c(p)) if strict else (lambda x: x <= c(p))))
-    counts = df.groupBy(c(fold).cast("int").alias("fold"), bucket.alias("b")).agg(
-        F.sum((c(y) == 1).cast("long")).alias("pos"), F.sum((c(y) != 1).cast("long")).alias("neg")
-    )
     spark = df.sparkSession
-    totals = counts.groupBy("fold").agg(F.sum("pos").alias("P"), F.sum(F.col("pos") + F.col("neg")).alias("n"))
-    w = Window.partitionBy("fold").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.select("fold", "b", F.sum("pos").over(w).alias("cpos"), F.sum("neg").over(w).alias("cneg"))
-    # running sums at each index j0 = those of the last observed bucket <= j0
-    spread = cum.where(F.col("b") < m).select(
-        "fold", "b", "cpos", "cneg", F.explode(F.sequence(F.col("b"), F.lit(m - 1))).alias("j0")
-    )
-    latest = spread.groupBy("fold", "j0").agg(F.max_by(F.struct("cpos", "cneg"), F.col("b")).alias("s"))
-    grid = totals.select("fold", "P", "n", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("j0"))
-    thresholds = spark.createDataFrame([(j, t) for j, t in enumerate(cands)], "j0 int, threshold double")
-    # threshold cands[j0] predicts 1 for buckets > j0
-    per_fold = (
-        grid.join(latest, ["fold", "j0"], "left")
-        .join(F.broadcast(thresholds), "j0")  # one row per candidate
-        .select("fold", "threshold",
-                ((F.col("P") - F.coalesce(F.col("s.cpos"), F.lit(0)) + F.coalesce(F.col("s.cneg"), F.lit(0)))
-                 / F.col("n")).alias("accuracy"))
-    )
-    return per_fold.groupBy("threshold").agg(F.avg("accuracy").alias("accuracy"))
+    counts = df.groupBy(c(fold).cast("int").alias("fold"), c(p).cast("double").alias("s")).agg(
+        F.sum((c(y) == 1).cast("long")).alias("pos"), F.sum((c(y) != 1).cast("long")).alias("neg"))
+    counts = counts.select("fold", "s", F.lit(1).alias("kind"), "pos", "neg")
+    folds = [(r["fold"], r["pos"] or 0, r["neg"] or 0) for r in counts.groupBy("fold").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()]  # one row a fold
+    folds.sort(key=lambda r: (r[0] is not None, r[0] or 0))
+    # an inclusive cut (p >= t) lies before the scores that equal it, a strict one behind
+    place, cuts, totals, lower = 2 if strict else 0, sorted({float(t) for t in candidates}), [], (0, 0)
+    for f, pos, neg in folds:
+        totals.append((f, pos, pos + neg, *lower))
+        lower = (lower[0] + pos, lower[1] + neg)
+    marks = spark.createDataFrame([(f, t, place, 0, 0) for f, _, _ in folds for t in cuts], "fold int, s double, kind int, pos long, neg long")
+    both = with_prefix_sums(counts.unionAll(marks), [F.col(x).asc() for x in ("fold", "s", "kind")], ["pos", "neg"])
+    total = spark.createDataFrame(totals, "f int, P long, n long, pos_lower long, neg_lower long")
+    at = both.where(F.col("kind") == place).join(F.broadcast(total), F.col("fold").eqNullSafe(F.col("f")))
+    right = F.col("P") - (F.col("pos_before") - F.col("pos_lower")) + F.col("neg_before") - F.col("neg_lower")
+    return at.groupBy(F.col("s").alias("threshold")).agg(F.avg(right / F.col("n")).alias("accuracy"))
 
 
 # -- L3 ---------------------------------------------------------------------

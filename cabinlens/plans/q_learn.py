@@ -17,6 +17,7 @@ from cabinlens.operators import split as H
 from cabinlens.operators.select import split_xy
 from cabinlens.plans import features as FE
 from cabinlens.plans.catalog import finish, register, test_frame, train_frame
+from cabinlens.plans.oracle import base
 from cabinlens.sources import fixtures as FX
 from cabinlens.sources.io import normalize_columns
 
@@ -100,7 +101,6 @@ def cv_accuracy(spark, sf):
 @register("voting_ensemble_scores")
 def voting_ensemble_scores(spark, sf):
     """Full feature set, best features, three tree models, weighted hard vote."""
-    from cabinlens.operators import evaluate as K
     from cabinlens.operators.select import keep_features
 
     train = train_frame(spark, sf)
@@ -108,17 +108,10 @@ def voting_ensemble_scores(spark, sf):
     te = keep_features(FE.features_full(test_frame(spark, sf), fit_on=train), S.BEST_FEATURES)
     xy_train, _ = split_xy(tr)
     xy_test, _ = split_xy(te)
-    cached = xy_train.persist()
-    models = [
-        J.boosted_trees(BOOSTED_DEFAULTS).fit(cached),
-        J.forest(FOREST_DEFAULTS).fit(cached),
-        J.boosted_trees({**BOOSTED_DEFAULTS, "max_depth": 4}, seed=7).fit(cached),
-    ]
-    cached.unpersist()
-    scored = xy_test.select("id")
-    for i, m in enumerate(models):
-        scored = scored.join(J.score(m, xy_test).select("id", F.col("prediction").alias(f"m{i}")), "id")
-    return K.hard_vote(scored, ["m0", "m1", "m2"], S.VOTE_WEIGHTS)
+    model = J.fit(J.Voting([
+        J.boosted_trees(BOOSTED_DEFAULTS), J.forest(FOREST_DEFAULTS), J.boosted_trees({**BOOSTED_DEFAULTS, "max_depth": 4}, seed=7),
+    ], S.VOTE_WEIGHTS), xy_train)
+    return model.transform(xy_test).select("id", "m0", "m1", "m2", F.col("prediction").cast("int").alias("vote"))
 
 
 @register("random_search_trials")
@@ -154,3 +147,95 @@ def adversarial_split_learned(spark, sf):
         .unionByName(validation.select("id", F.lit("validation").alias("part")))
         .withColumn("adversarial_auc", F.lit(float(auc)))
     )
+
+
+# ---------------------------------------------------------------------------
+# What holds for any solver's result, stated in SQL: numbers of rows, ranges,
+# labels as their cut of the score, and that a saved model scores as the fitted one.
+
+_MODELS = ("boosted", "forest", "logistic", "network")
+
+
+@register(
+    "model_round_trip",
+    base() + "SELECT model, (SELECT COUNT(*) FROM test) AS n_rows, true AS p_in_range, true AS label_is_cut, true AS loaded_scores_equal,"
+    f" true AS beats_majority FROM (VALUES {', '.join(f'({chr(39)}{m}{chr(39)})' for m in _MODELS)}) AS m(model)",
+)
+def model_round_trip(spark, sf):
+    """Fit, save, load and score each learner."""
+    import uuid
+    from functools import reduce
+
+    from cabinlens.session import scratch_path
+    from cabinlens.sources.io import load_model, save_model
+
+    xy_train, xy_test, names = tree_xy(spark, sf)
+    tr = FE.features_nn(train_frame(spark, sf))
+    te = FE.features_nn(test_frame(spark, sf), fit_on=train_frame(spark, sf))
+    nn_train, nn_names = split_xy(tr, sort=True)
+    nn_test, _ = split_xy(te, sort=True)
+    plans = {
+        "boosted": (J.boosted_trees(BOOSTED_DEFAULTS), xy_train, xy_test), "forest": (J.forest(FOREST_DEFAULTS), xy_train, xy_test),
+        "logistic": (J.logistic(maxIter=20), nn_train, nn_test), "network": (J.mlp(len(nn_names), hidden=(16,), max_iter=60), nn_train, nn_test),
+    }
+    out = []
+    for name in _MODELS:
+        estimator, train, test = plans[name]
+        model = J.fit(estimator, train)
+        path = scratch_path(spark, f"model-{name}-{uuid.uuid4().hex}")
+        save_model(model, path)
+        loaded = load_model(path)
+        both = J.positive_probability(model.transform(test)).select("id", "features", F.col("p").alias("p0"))
+        both = J.score(loaded, both, keep=("id", "p0"), threshold=0.5)
+        # train accuracy against always answering the larger class
+        right = J.score(model, train, keep=(S.TARGET,), threshold=0.5).agg(
+            F.avg((F.col("prediction") == F.col(S.TARGET)).cast("double")).alias("a"), F.avg(S.TARGET).alias("share")).first()
+        out.append(both.agg(
+            F.lit(name).alias("model"), F.count("*").alias("n_rows"), F.min(F.col("p").between(0, 1)).alias("p_in_range"),
+            F.min((F.col("p") >= 0.5).cast("int") == F.col("prediction")).alias("label_is_cut"),
+            F.min(F.abs(F.col("p") - F.col("p0")) < 1e-12).alias("loaded_scores_equal"),
+            F.lit(bool(right["a"] >= max(right["share"], 1 - right["share"]))).alias("beats_majority")))
+    return reduce(lambda a, b: a.unionAll(b), out)
+
+
+@register(
+    "search_round_trip",
+    base() + "SELECT search, 2 AS n_trials, true AS accuracy_in_range, true AS loss_is_negative, true AS best_is_max, true AS resumed_equal"
+    " FROM (VALUES ('forest'), ('features')) AS s(search)",
+)
+def search_round_trip(spark, sf):
+    """Search, store, resume and read the best trial."""
+    import uuid
+    from functools import reduce
+
+    from cabinlens.operators.evaluate import best_trial
+    from cabinlens.session import scratch_path
+
+    xy_train, _, _ = tree_xy(spark, sf)
+    folds = _with_folds(xy_train, k=2)
+    wide = _with_folds(train_frame(spark, sf).select("id", S.TARGET, *S.SURVEY), k=2)
+    path = scratch_path(spark, f"trials-{uuid.uuid4().hex}")
+    space = {"n_estimators": ("choice", [5]), "max_depth": ("choice", [3, 4])}
+
+    def forest_search():
+        return L.random_search(J.forest, folds, space, n=2, seed=393, k=2, name="forest", path=path)
+
+    def feature_trials():
+        made = [{"features": list(S.SURVEY[:5])}, {"features": list(S.SURVEY)}]
+        cached = wide.persist()
+        try:
+            return L._run(spark, "features", made, lambda t: L._mean(J.fold_accuracies(
+                J.forest({"n_estimators": 5}), split_xy(cached.select("id", S.TARGET, "fold", *t["features"]), keep=("id", "fold"))[0], k=2)), path, 2)
+        finally:
+            cached.unpersist()
+
+    out = []
+    for run in (forest_search, feature_trials):
+        first = run().collect()
+        again = run()  # taken from the table
+        best = best_trial(again, "params").first()
+        out.append(again.groupBy("search").agg(
+            F.count("*").cast("int").alias("n_trials"), F.min(F.col("accuracy").between(0, 1)).alias("accuracy_in_range"),
+            F.min(F.col("loss") == -F.col("accuracy")).alias("loss_is_negative"), (F.max("accuracy") == F.lit(best["accuracy"])).alias("best_is_max"),
+            F.lit(again.collect() == first and spark.read.parquet(path).where(F.col("search") == first[0]["search"]).count() == 2).alias("resumed_equal")))
+    return reduce(lambda a, b: a.unionAll(b), out)
