@@ -15,14 +15,15 @@ When a coordinate stays empty the next octave is thrown too.
 
 ``BANDS`` bands of ``ROWS`` coordinates make buckets: a pair at similarity 0.8
 misses all of them with probability (1 - 0.8**6)**32 = 6e-5.  Equal word
-sequences are one class beforehand.  In a bucket one class, the head (that
-which shares most buckets with others), is compared with each other member, by their whole multisets, and leaves
-the bucket.  All others stay in it, those that matched the head too, with the component they are in by now: a text that
-does not match the head may match one that does.  A bucket of one component is done; in one with at most ``PAIRWISE``
-/ 2 pairs of different components a member these are all compared; a larger one has a second head, and is then dealt
-out by a second band that its members share, where after a third head all pairs of different components are compared
-(a pair at 0.8 that lies in crowded buckets only is missed with probability 8e-4: fewer than two bands in common).
-So a bucket of n near copies and a few others makes about n pairs, not n**2, and no partner is capped.
+sequences are one class beforehand.  In each of ``ROUNDS`` rounds one class of a
+bucket, the head (that which shares most buckets with others, after the first
+round one outside of the largest component), is compared with each member of
+another component, by their whole multisets.  Then all pairs of members of
+different components are compared, whatever the bucket's size: those outside of
+its largest component with all others.  Before texts are fetched, sizes too far
+apart and pairs whose ``BITS``-bit parities differ in more places than the
+multisets may are left out; both tests are exact.  So a bucket of n near copies
+and a few others makes about n pairs, and no partner is capped.
 
 Defined cases: null, empty and word-less texts are never near-duplicates; a
 null ``doc_id`` is its own class with a null class id; rows with the same id
@@ -50,9 +51,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 K = BANDS * ROWS
-#: Half as many pairs of different components a member are compared at once, by the
-#: round (none in the first); a bucket with more than by the last figure is dealt out anew.
-PAIRWISE = (0, 48, 64)
+#: Rounds in which a bucket's members are compared with one head.
+ROUNDS = 3
+#: Bits of a multiset's parity sketch.
+BITS = 512
 #: Most candidate classes (16 bytes each) whose keys are broadcast to skip a shuffle of all texts.
 BROADCAST_KEYS = 1_000_000
 
@@ -184,17 +186,28 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part["d"], *classes, bands], names=["d", "c1", "c2", "bands"])
 
 
+def _parities(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(rows, BITS / 64): bit i of a row is the parity of its shingles in bucket i."""
+    rows = len(offsets) - 1
+    cell = np.repeat(np.arange(rows), np.diff(offsets)) * BITS + (mix(hashes ^ SECOND) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(rows, BITS // 64)
+
+
 def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, sh): sorted 32-bit shingle hashes, repeated by their multiplicity."""
+    """(node, sh, bits): sorted 64-bit shingle hashes, repeated by their
+    multiplicity, and their parities."""
     for batch in batches:
-        for a, b in list_slices(batch["h"]):
+        for a, b in list_slices(batch["h"], 1 << 18, BITS):
             part = batch.slice(a, b - a)
             values, offsets = flat_lists(part["h"])
             hashes, at = shingles(values.view(np.uint64), offsets)
-            row = np.repeat(np.arange(len(at) - 1), np.diff(at)).astype(np.uint64)
-            own = np.sort((row << np.uint64(32)) | (hashes >> np.uint64(32))) & np.uint64(0xFFFFFFFF)
-            sh = list_array(own.astype(np.uint32).view(np.int32), np.diff(at), pa.int32())
-            yield pa.RecordBatch.from_arrays([part["d"], sh], names=["node", "sh"])
+            row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            own = hashes[np.lexsort((hashes, row))]
+            bits = _parities(hashes, at)
+            yield pa.RecordBatch.from_arrays(
+                [part["d"], list_array(own.view(np.int64), np.diff(at), pa.int64()),
+                 list_array(bits.ravel(), np.full(len(bits), BITS // 64), pa.int64())], names=["node", "sh", "bits"])
 
 
 def similarity(x: np.ndarray, y: np.ndarray) -> float:
@@ -237,73 +250,87 @@ def near_classes(sketch: DataFrame, base: DataFrame, threshold: float) -> tuple[
     texts = base.join(if_small(nodes, nodes.count(), BROADCAST_KEYS), F.col("d") == F.col("k"), "left_semi")
     shingled = materialize(texts.dropDuplicates(["d", "text"]).select(
         "d", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h")).mapInArrow(
-        _multisets, "node long, sh array<int>"), "shingles")
-
-    # sizes too far apart for the threshold need no comparison
-    sizes = shingled.groupBy(F.col("node").alias("sn")).agg(F.min(F.size("sh")).alias("low"), F.max(F.size("sh")).alias("high"))
-    pending = shared.join(weight, F.col("node") == F.col("wn")).join(sizes, F.col("node") == F.col("sn")).select(
-        "bucket", "node", F.col("node").alias("root"), "w", "low", "high", F.col("bucket").alias("band"))
+        _multisets, "node long, sh array<long>, bits array<long>"), "shingles")
+
+    # an id that holds several texts has no single parity, and is compared without
+    sizes = shingled.groupBy(F.col("node").alias("sn")).agg(
+        F.min(F.size("sh")).alias("low"), F.max(F.size("sh")).alias("high"), F.when(F.count("*") == 1, F.first("bits")).alias("bits"))
+    sizes = materialize(sizes, "sizes")
+    pending = shared.join(weight, F.col("node") == F.col("wn")).join(sizes.drop("bits"), F.col("node") == F.col("sn")).select(
+        "bucket", "node", F.col("node").alias("root"), "w", "low", "high")
     pending = materialize(pending, "pending")
 
-    links, turn, roots = [], 0, None
+    links, tested, turn = [], None, 0
     left = shingled.select(F.col("node").alias("na"), F.col("sh").alias("sh_a"))
     right = shingled.select(F.col("node").alias("nb"), F.col("sh").alias("sh_b"))
+    sketches = [sizes.select(F.col("sn").alias(f"k{x}"), F.col("high").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
     while True:
-        if turn == len(PAIRWISE) - 1:  # what is left of a crowded bucket is dealt out by a second band
-            sized = pending.join(_sizes(pending), F.col("bucket") == F.col("b"))
-            few, many = (sized.where(c).select(*pending.columns) for c in (F.col("cross") <= PAIRWISE[turn] * F.col("n"),
-                                                                           F.col("cross") > PAIRWISE[turn] * F.col("n")))
-            finer = many.join(classes.select(F.col("node").alias("cn"), "bands"), F.col("node") == F.col("cn")).select(
-                *pending.columns, F.explode("bands").alias("other")).where("other > band").select(
-                F.xxhash64("band", "other").alias("bucket"), "node", "root", "w", "low", "high", F.col("other").alias("band")).distinct()
-            pending = materialize(few.unionAll(finer), "dealt")
-        pairwise = PAIRWISE[turn] if turn < len(PAIRWISE) else None
-        sizes = materialize(_sizes(pending), "sizes")
-        pairs = materialize(_pairs(pending, sizes, pairwise, threshold), "pairs")
-        if pairs.isEmpty():
-            return classes, roots
-        tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        scored = materialize(
-            tested.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb"))
-            .select("a", "b", "sh_a", "sh_b").mapInArrow(_compare(threshold), "a long, b long, ok boolean"), "scored")
-        links.append(scored.where("ok").select("a", "b"))
+        heads = materialize(_heads(pending, turn), "heads")
+        last = turn >= ROUNDS
+        pairs = _all_pairs(pending, heads, sizes, threshold) if last else _head_pairs(pending, heads, threshold)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        if not last and pairs.isEmpty():
+            turn = ROUNDS
+            continue
+        close = pairs.join(sketches[0], F.col("a") == F.col("ka")).join(sketches[1], F.col("b") == F.col("kb")).where(
+            F.expr(_may_match("size_a", "size_b", "bits_a", "bits_b", threshold))).select("a", "b")
+        scored = close.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb")).select(
+            "a", "b", "sh_a", "sh_b").mapInArrow(_compare(threshold), "a long, b long, ok boolean")
+        links.append(materialize(scored.where("ok").select("a", "b").distinct(), "links"))
         roots = materialize(components(reduce(DataFrame.unionAll, links)), "roots")
-        of = [roots.select(F.col("node").alias(f"n{x}"), F.col("root").alias(f"r{x}")) for x in "ab"]
-        if pairwise is None:
+        if last:
             return classes, roots
-        headed = sizes.where(F.col("cross") > pairwise * F.col("n"))
-        rest = pending.join(headed, (F.col("bucket") == F.col("b")) & (F.col("node") != F.col("head.node"))).select(*pending.columns)
-        rest = rest.withColumnRenamed("root", "was").join(roots.select(F.col("node").alias("rn"), "root"), F.col("node") == F.col("rn"), "left")
-        pending = materialize(rest.withColumn("root", F.coalesce("root", "was")).select(*pending.columns), "pending")
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        moved = pending.withColumnRenamed("root", "was").join(
+            roots.select(F.col("node").alias("rn"), "root"), F.col("node") == F.col("rn"), "left")
+        pending = materialize(moved.withColumn("root", F.coalesce("root", "was")).select(*pending.columns), "pending")
         turn += 1
 
 
-def _sizes(pending: DataFrame) -> DataFrame:
-    """Buckets whose members are not in one component already: their head, number,
-    largest component and twice the number of pairs of different components."""
+def _may_match(a: str, b: str, bits_a: str, bits_b: str, threshold: float) -> str:
+    """Whether multisets of these sizes may reach the threshold: their parities
+    differ in no more places than the multisets do."""
+    differ = " + ".join(f"bit_count({bits_a}[{i}] ^ {bits_b}[{i}])" for i in range(BITS // 64))
+    most = f"{a} + {b} - 2 * ceil({threshold} * ({a} + {b}) / {1 + threshold} - 1e-6)"
+    return f"coalesce({differ} <= {most}, true)"
+
+
+def _heads(pending: DataFrame, turn: int) -> DataFrame:
+    """Buckets whose members are of several components: their head and largest component."""
     per_root = pending.groupBy("bucket", "root").agg(
-        F.max(F.struct("w", F.negative("node").alias("last"), "node", "root")).alias("top"), F.count("*").alias("c"))
-    return per_root.groupBy("bucket").agg(
-        F.max("top").alias("head"), F.sum("c").alias("n"), (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("cross"),
-        F.max(F.struct("c", "root")).alias("main")).where("cross > 0").select(F.col("bucket").alias("b"), "head", "n", "cross", "main")
-
-
-def _pairs(pending: DataFrame, sizes: DataFrame, pairwise: int | None, threshold: float) -> DataFrame:
-    """(a, b) of members in different components: every pair of a bucket with at
-    most ``pairwise`` / 2 of them a member (None: of any bucket), else the head with each other one."""
-    own = pending.join(sizes, F.col("bucket") == F.col("b"))
-    direct = F.lit(True) if pairwise is None else F.col("cross") <= pairwise * F.col("n")
-    first = own.where(~direct & (F.col("root") != F.col("head.root"))).select(F.col("head.node").alias("a"), F.col("node").alias("b"))
-    if pairwise == 0:
-        return first.distinct()
-    few = own.where(direct).select("bucket", "node", "root", "low", "high", (F.col("root") == F.col("main.root")).alias("in_main"))
-    # members outside of the largest component with all others
-    other = few.where("NOT in_main").select(F.col("bucket").alias("ob"), F.col("node").alias("b"), F.col("root").alias("other_root"),
-                                            F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    near = (F.col("high") >= threshold * F.col("other_low")) & (F.col("other_high") >= threshold * F.col("low"))
-    close = few.join(other, (F.col("bucket") == F.col("ob")) & (F.col("root") != F.col("other_root")) & near
-                     & (F.col("in_main") | (F.col("node") < F.col("b"))))
-    return first.unionAll(close.select(F.col("node").alias("a"), "b")).distinct()
+        F.max(F.struct("w", F.negative("node").alias("last"), "node", "root", "low", "high")).alias("top"), F.count("*").alias("c"))
+    heads = per_root.groupBy(F.col("bucket").alias("b")).agg(
+        F.count("*").alias("n_roots"), F.max("top").alias("head"), F.max(F.struct("c", "root")).alias("main")).where("n_roots > 1")
+    if not turn:
+        return heads
+    other = per_root.join(heads.drop("head"), F.col("bucket") == F.col("b")).where("root <> main.root")
+    return other.groupBy("b").agg(F.first("n_roots").alias("n_roots"), F.max("top").alias("head"), F.first("main").alias("main"))
+
+
+def _near(low_a: str, high_a: str, low_b: str, high_b: str, threshold: float) -> str:
+    return f"({high_a} >= {threshold} * {low_b} AND {high_b} >= {threshold} * {low_a})"
+
+
+def _head_pairs(pending: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
+    return pending.join(heads, F.col("bucket") == F.col("b")).where(
+        "root <> head.root AND " + _near("low", "high", "head.low", "head.high", threshold)).select(
+        F.col("head.node").alias("a"), F.col("node").alias("b"))
+
+
+def _all_pairs(pending: DataFrame, heads: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """Every pair of a bucket's members of different components that may match:
+    those outside of its largest component with all others."""
+    own = pending.join(heads, F.col("bucket") == F.col("b")).join(sizes.select("sn", "bits"), F.col("node") == F.col("sn")).select(
+        "bucket", "node", "root", "low", "high", "bits", (F.col("root") == F.col("main.root")).alias("in_main"))
+    own = materialize(own, "crossing")
+    other = own.where("NOT in_main").select(F.col("bucket").alias("ob"), F.col("node").alias("b"), F.col("root").alias("root_b"),
+                                            F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("bits").alias("bits_b"))
+    near = " AND ".join(["bucket = ob", "root <> root_b", "(in_main OR node < b)", _near("low", "high", "low_b", "high_b", threshold),
+                         _may_match("high", "high_b", "bits", "bits_b", threshold)])
+    return own.join(other, F.expr(near)).select(F.col("node").alias("a"), "b")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

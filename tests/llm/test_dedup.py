@@ -221,9 +221,9 @@ def brute_groups(rows, threshold=0.8):
     return {d: find(d) for d in root}
 
 
-@pytest.mark.parametrize("pairwise", [(0, 48, 64), (0, 2)])
-def test_near_duplicates_match_brute_force(spark, monkeypatch, pairwise):
-    monkeypatch.setattr(dart_minhash, "PAIRWISE", pairwise)
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, rounds):
+    monkeypatch.setattr(dart_minhash, "ROUNDS", rounds)
     rng = random.Random(9)
     vocab = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(400)]
     rows = []
@@ -242,9 +242,9 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, pairwise):
     assert dart_minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("pairwise", [(0, 48, 64), (0, 2)])
-def test_near_duplicates_of_a_member_that_matched_the_head(spark, monkeypatch, pairwise):
-    monkeypatch.setattr(dart_minhash, "PAIRWISE", pairwise)
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_near_duplicates_of_a_member_that_matched_the_head(spark, monkeypatch, rounds):
+    monkeypatch.setattr(dart_minhash, "ROUNDS", rounds)
     rng = random.Random(12)
     new = lambda n: ["".join(rng.choices("abcdefgh", k=9)) for _ in range(n)]
     rows = []
@@ -275,3 +275,29 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {x: find(x) for x in root}
+
+
+def test_near_duplicate_pairs_grow_with_the_group(spark, monkeypatch):
+    """Near copies of one text, and texts that only share a passage: about n pairs are fetched."""
+    fetched = []
+    real = dart_minhash.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "pairs":
+            fetched.append(out.count())
+        return out
+
+    monkeypatch.setattr(dart_minhash, "materialize", counted)
+    sums = []
+    for n in (100, 200, 400):
+        rng = random.Random(n)
+        word = lambda: "".join(rng.choices("abcdefgh", k=7))
+        base, passage = [word() for _ in range(150)], [word() for _ in range(60)]
+        rows = [(i, " ".join([*base[:i % 140], word(), *base[i % 140 + 1:]])) for i in range(n)]
+        rows += [(5000 + i, " ".join(passage + [word() for _ in range(40)])) for i in range(n)]
+        fetched.clear()
+        got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(frame(spark, rows)).collect()}
+        assert got == {i: 0 if i < 5000 else i for i, _ in rows}
+        sums.append(sum(fetched))
+    assert sums[2] < 2.6 * sums[1] and sums[2] < 4 * 800  # documents
