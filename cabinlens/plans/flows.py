@@ -147,6 +147,20 @@ def blend_submit(spark: SparkSession, tree_model, network_model, test_path: str,
     return _write_submission(spark, sample_path, blended, os.path.join(out_dir, "avg_submission"))
 
 
+def _transformed(df: DataFrame) -> DataFrame:
+    """The numeric columns after log(1 + x) and square root."""
+    return df.select(*[F.log1p(x).alias(f"log_{x}") for x in S.NUMERIC], *[F.sqrt(x).alias(f"sqrt_{x}") for x in S.NUMERIC])
+
+
+def _densities(train: DataFrame, test: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Both sides' densities of each feature, one after the other."""
+    parts = [P.density_table(train, test, x).withColumn("feature", F.lit(x)) for x in features]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def profile_tables(spark: SparkSession, train_path: str, test_path: str, out_dir: str) -> dict[str, DataFrame]:
     """The exploratory and train/test comparison tables, written as CSV."""
     raw = IO.read_survey(spark, train_path, IO.survey_schema(True))
@@ -166,6 +180,9 @@ def profile_tables(spark: SparkSession, train_path: str, test_path: str, out_dir
         "feature_statistics": P.compare_moments(tr, te, tr.columns),
         "stability_indices": P.stability_index(tr, te, tr.columns),
         "correlation": P.correlation_matrix(tr, tr.columns),
+        "numeric_statistics": P.numeric_profile(train, S.NUMERIC),
+        "numeric_statistics_transformed": P.numeric_profile(_transformed(train), [f"{f}_{x}" for x in S.NUMERIC for f in ("log", "sqrt")]),
+        "densities": _densities(train, test, S.NUMERIC),
     }
     for name, df in tables.items():
         IO.write_table(df, os.path.join(out_dir, name))

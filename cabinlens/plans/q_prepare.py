@@ -173,6 +173,13 @@ def group_mean_nonresponse(spark, sf):
     return finish(out.select("id", *[c(x) for x in S.SURVEY]))
 
 
+@register("nonresponse_group_strategy", _group_mean_sql("test"))
+def nonresponse_group_strategy(spark, sf):
+    """B7's dispatch to the group means, each frame by its own modes."""
+    _, test = M.handle_nonresponse(train_frame(spark, sf), test_frame(spark, sf), "group")
+    return finish(test.select("id", *[c(x) for x in S.SURVEY]))
+
+
 # ---------------------------------------------------------------------------
 # Category codes (sorted position + 1)
 

@@ -1,11 +1,11 @@
 """Scoring of survey files as they arrive.
 
 The reference scores one test file in batch.  Every fitted step here is a
-stateless projection (category lists and statistics become literals; MLlib
-models are row-wise), so the same preparation and model apply unchanged to a
-streaming DataFrame: new files in a folder are prepared, scored and written
-as submission rows, with progress kept under ``spark.checkpoint.dir`` so a
-restarted query resumes where it stopped.
+stateless projection or a join with a fitted table (statistics become literals;
+MLlib models are row-wise), so the same preparation and model apply unchanged to
+a streaming DataFrame: new files in a folder are prepared, scored and written as
+submission rows, with progress kept in the checkpoint folder that the caller
+names, so a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
