@@ -11,7 +11,8 @@ def components(links: DataFrame) -> DataFrame:
     node's component.  Alternating star rounds shrink every component to a star
     in a logarithmic number of rounds; each round is two groupings whose
     minima are partly built before the shuffle, and is checkpointed in the
-    shared folder.  Nodes without links do not appear."""
+    shared folder; they end when the edges (their number and two 64-bit sums of
+    hashes) stay the same.  Nodes without links do not appear."""
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = edges.checkpoint()
     state = None
@@ -27,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         moved = large.join(least, F.col("u") == F.col("n"))
         edges = (moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .unionAll(least.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct().checkpoint())
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("s")).first()
+        now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("s"), F.bit_xor(F.xxhash64("v", "u")).alias("t")).first()
         if state == now:
             break
         state = now
