@@ -105,10 +105,6 @@ def cut(col: Column | str, edges: Sequence[float], labels: Sequence[str], right:
     return expr
 
 
-def sigmoid(col: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-col))
-
-
 def safe_div(num: Column, den: Column, zero: float | None = 0.0) -> Column:
     """Division that yields ``zero`` (or NULL) instead of failing under ANSI mode."""
     out = F.when(den == 0, F.lit(zero)).otherwise(num / den)

@@ -5,11 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabinlens import schema as S
 from cabinlens.functions.exprs import c, cut as cut_expr
 
 
@@ -120,17 +123,19 @@ class QuantileBins:
 
 
 # -- D7 / D8 / D9 / D10 -----------------------------------------------------
-def multiply(df: DataFrame, a: str, b: str, name: str | None = None) -> DataFrame:
-    return df.withColumn(name or f"{a}_x_{b}", c(a) * c(b))
+def multiply(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``<a>_x_<b>`` for each pair, in one projection."""
+    return df.withColumns({f"{a}_x_{b}": c(a) * c(b) for a, b in pairs})
 
 
-def row_sum(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
-    """Row sum where NULL counts as 0."""
-    return df.withColumn(name, sum((F.coalesce(c(x), F.lit(0)) for x in cols), F.lit(0)))
+def row_sum(df: DataFrame, sums: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """Row sums (name, columns) where NULL counts as 0."""
+    return df.withColumns({name: reduce(add, [F.coalesce(c(x), F.lit(0)) for x in cols]) for name, cols in sums})
 
 
-def difference(df: DataFrame, name: str, a: str, b: str) -> DataFrame:
-    return df.withColumn(name, c(a) - c(b))
+def difference(df: DataFrame, gaps: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """``name`` = a - b for each (name, a, b)."""
+    return df.withColumns({name: c(a) - c(b) for name, a, b in gaps})
 
 
 def total(df: DataFrame, name: str, a: str, b: str) -> DataFrame:
@@ -163,50 +168,6 @@ def concat_features(df: DataFrame, name: str, parts: Sequence, sep: str = "_") -
 
 
 # -- D12 --------------------------------------------------------------------
-# choice -> columns it selects (fixed values of the feature-subset search)
-SELECTION_CHOICES: dict[str, dict[str, list[str]]] = {
-    "Age_Selection": {
-        "numerical": ["Age"],
-        "bins": ["Age_bins_Young_Adult", "Age_bins_Adult", "Age_bins_Senior"],
-        "squared": ["Age", "Age^2"],
-        "cubed": ["Age", "Age^2", "Age^3"],
-        "no_selection": [],
-    },
-    "Flight_Distance_Selection": {
-        "numerical": ["Flight_Distance"],
-        "bins": ["Flight_Distance_bins_Long-Haul", "Flight_Distance_bins_Medium-Haul"],
-        "squared": ["Flight_Distance", "Flight_Distance^2"],
-        "cubed": ["Flight_Distance", "Flight_Distance^2", "Flight_Distance^3"],
-        "no_selection": [],
-    },
-    "Delay_Selection": {
-        "numerical": ["Departure_Delay_in_Minutes", "Arrival_Delay_in_Minutes"],
-        "total": ["Total_Delay_Minutes"],
-        "categorical": ["Experienced_Delay"],
-        "squared": [
-            "Departure_Delay_in_Minutes",
-            "Arrival_Delay_in_Minutes",
-            "Departure_Delay_in_Minutes^2",
-            "Arrival_Delay_in_Minutes^2",
-        ],
-        "cubed": [
-            "Departure_Delay_in_Minutes",
-            "Arrival_Delay_in_Minutes",
-            "Departure_Delay_in_Minutes^2",
-            "Arrival_Delay_in_Minutes^2",
-            "Departure_Delay_in_Minutes^3",
-            "Arrival_Delay_in_Minutes^3",
-        ],
-        "no_selection": [],
-    },
-    "Delay_Difference_Selection": {
-        "numerical": ["Flight_Delay_Difference_Minutes"],
-        "bins": ["Flight_Delay_Difference_Made_Up_Time", "Flight_Delay_Difference_Lost_Time"],
-        "no_selection": [],
-    },
-}
-
-
 def expand_selection(config: Mapping[str, object]) -> list[str]:
     """Turn a search configuration into the list of selected columns.
 
@@ -215,18 +176,13 @@ def expand_selection(config: Mapping[str, object]) -> list[str]:
     """
     out: list[str] = []
     for key, value in config.items():
-        if key in SELECTION_CHOICES:
+        if key in S.SELECTION_CHOICES:
             continue
         if value:
             out.append(key)
-    for key, choices in SELECTION_CHOICES.items():
+    for key, choices in S.SELECTION_CHOICES.items():
         if key in config:
             for col in choices[str(config[key])]:
                 if col not in out:
                     out.append(col)
     return out
-
-
-def select_features(df: DataFrame, config: Mapping[str, object], keep: Sequence[str] = ()) -> DataFrame:
-    cols = expand_selection(config)
-    return df.select(*[c(x) for x in [*keep, *cols]])

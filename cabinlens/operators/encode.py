@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cabinlens import schema as S
 from cabinlens.functions.exprs import c, q, sql_literal
@@ -108,10 +107,6 @@ def encode_rating(df: DataFrame, col: str = S.TARGET) -> DataFrame:
     return map_values(df, col, S.RATING_LABELS)
 
 
-def decode_rating(df: DataFrame, col: str = S.TARGET) -> DataFrame:
-    return map_values(df, col, {v: k for k, v in S.RATING_LABELS.items()})
-
-
 # -- C2 ---------------------------------------------------------------------
 def _looked_up(df: DataFrame, tables: Mapping[str, DataFrame], value: str, out: Mapping[str, str], default=None) -> DataFrame:
     """``df`` with, for each column, ``value`` of its row in the fitted table as

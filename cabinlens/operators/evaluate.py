@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cabinlens.functions.exprs import c, safe_div
 from cabinlens.functions.ordered import with_prefix_sums
+from cabinlens.operators.select import filter_mask
 
 
 # -- K5 ---------------------------------------------------------------------
@@ -103,7 +104,7 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "prediction")
 
 def wrong_predictions(df: DataFrame, y: str = "y", pred: str = "prediction") -> DataFrame:
     """Mistaken rows with ``true_labels`` and ``predicted_labels``."""
-    return df.where(c(y) != c(pred)).withColumn("true_labels", c(y)).withColumn("predicted_labels", c(pred))
+    return filter_mask(df, c(y) != c(pred)).withColumn("true_labels", c(y)).withColumn("predicted_labels", c(pred))
 
 
 # -- K6 ---------------------------------------------------------------------

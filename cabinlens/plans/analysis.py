@@ -9,16 +9,6 @@ from cabinlens.functions.exprs import c, cut
 from cabinlens.operators import derive as D
 from cabinlens.operators import profile as P
 
-GROUP_FEATURES = ["Age Group", "Departure Delay Group", "Arrival Delay Group"]
-INTERACTION_FEATURES = [
-    "Class_SeatComfort",
-    "TravelType_FlightDistance",
-    "OnlineBooking_OnlineBoarding",
-    "FlightDistance_SeatComfort",
-    "InflightWifi_FlightDistance",
-]
-
-
 def group_features(raw: DataFrame) -> DataFrame:
     """Left-closed age and delay groups on raw-header columns."""
     return raw.withColumns(
@@ -44,5 +34,5 @@ def interaction_features(raw: DataFrame) -> DataFrame:
 
 def label_counts(raw: DataFrame, features=None) -> DataFrame:
     """Counts per feature value and satisfaction label (data of the count plots)."""
-    features = features or GROUP_FEATURES
+    features = features or S.GROUP_FEATURES
     return P.crosstab_by_target(raw, features, S.RAW_TARGET)

@@ -3,26 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cabinlens import schema as S
-from cabinlens.functions.exprs import c, cut as cut_expr, q
+from cabinlens.functions.exprs import cut as cut_expr
 from cabinlens.operators import derive as D
 from cabinlens.operators import encode as E
 from cabinlens.operators import missing as M
 from cabinlens.sources.io import normalize_columns
 
-FULL_ONEHOT = [
-    "Gender",
-    "Customer_Type",
-    "Type_of_Travel",
-    "Class",
-    "Age_bins",
-    "Flight_Distance_bins",
-    "Flight_Delay_Difference",
-]
-FREQ_COLUMNS = ["Type_of_Travel", "Class", "Gender", "Customer_Type"]
-POLY_COLUMNS = ["Flight_Distance", "Age", "Departure_Delay_in_Minutes", "Arrival_Delay_in_Minutes"]
+#: Arrival minus departure delay.
+DELAY_GAP = ("Flight_Delay_Difference_Minutes", "Arrival_Delay_in_Minutes", "Departure_Delay_in_Minutes")
+
+
+def on_off_features() -> list[str]:
+    """Columns of the full set that the feature search switches one by one."""
+    return [*S.SURVEY, "Gender_Male", "Type_of_Travel_Personal", "Class_Economy", "Class_Economy_Plus",
+            *[f"{a}_x_{b}" for a, b in S.INTERACTIONS], *[n for n, _ in S.SCORE_SUMS], *[n for n, _, _ in S.CONSISTENCY_DIFFS]]
 
 
 # -- D16 --------------------------------------------------------------------
@@ -58,29 +54,19 @@ def features_full(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     and frequency tables are fitted on ``fit_on`` (default: the frame itself,
     as the reference does)."""
     out = D.delay_flag(df)
-    out = out.withColumns(
-        {
-            "Total_Delay_Minutes": F.expr("Departure_Delay_in_Minutes + Arrival_Delay_in_Minutes"),
-            "Flight_Delay_Difference_Minutes": F.expr("Arrival_Delay_in_Minutes - Departure_Delay_in_Minutes"),
-        }
-    )
+    out = D.total(out, "Total_Delay_Minutes", "Departure_Delay_in_Minutes", "Arrival_Delay_in_Minutes")
+    out = D.difference(out, [DELAY_GAP])
     out = add_bins(out)
-    out = D.polynomial(out, POLY_COLUMNS)
+    out = D.polynomial(out, S.POLY_COLUMNS)
     base = out if fit_on is None else features_prefix(fit_on)
-    out = E.FrequencyEncoder.fit(base, FREQ_COLUMNS).transform(out)
-    out = E.OneHot.fit(base, FULL_ONEHOT).transform(out)
-    # SQL text: one planner call per new column
-    new = {f"{a}_x_{b}": f"{q(a)} * {q(b)}" for a, b in S.INTERACTIONS}
-    new.update({name: " + ".join(f"COALESCE({q(x)}, 0)" for x in cols) for name, cols in S.SCORE_SUMS})
-    new.update({name: f"{q(a)} - {q(b)}" for name, a, b in S.CONSISTENCY_DIFFS})
-    return out.withColumns({k: F.expr(v) for k, v in new.items()})
+    out = E.FrequencyEncoder.fit(base, S.FREQ_COLUMNS).transform(out)
+    out = E.OneHot.fit(base, S.FULL_ONEHOT).transform(out)
+    return D.difference(D.row_sum(D.multiply(out, S.INTERACTIONS), S.SCORE_SUMS), S.CONSISTENCY_DIFFS)
 
 
 def features_prefix(df: DataFrame) -> DataFrame:
     """The part of ``features_full`` that precedes the fitted encoders."""
-    out = D.delay_flag(df).withColumn(
-        "Flight_Delay_Difference_Minutes", F.expr("Arrival_Delay_in_Minutes - Departure_Delay_in_Minutes")
-    )
+    out = D.difference(D.delay_flag(df), [DELAY_GAP])
     return add_bins(out)
 
 

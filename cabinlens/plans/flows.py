@@ -174,7 +174,7 @@ def profile_tables(spark: SparkSession, train_path: str, test_path: str, out_dir
         "describe": P.describe(raw, numeric),
         "class_distribution": P.value_counts(raw, S.RAW_TARGET),
         "group_counts": AN.label_counts(AN.group_features(raw)),
-        "interaction_counts": AN.label_counts(AN.interaction_features(raw), AN.INTERACTION_FEATURES),
+        "interaction_counts": AN.label_counts(AN.interaction_features(raw), S.INTERACTION_FEATURES),
         "survey_counts": counts,
         "survey_stats": stats,
         "feature_statistics": P.compare_moments(tr, te, tr.columns),
@@ -195,11 +195,8 @@ def feature_search(spark: SparkSession, train_path: str, test_path: str, out_dir
     appended (a search started again goes on), and the best list is written."""
     train, _ = load(spark, train_path, test_path)
     wide = FE.features_full(train)
-    wide = wide.withColumns({f"{x}^3": F.col(f"`{x}`") ** 3 for x in FE.POLY_COLUMNS})
+    wide = wide.withColumns({f"{x}^3": F.col(f"`{x}`") ** 3 for x in S.POLY_COLUMNS})
     wide = H.stratified_kfold(wide, S.TARGET, k=folds, seed=seed)
-    on_off = [*S.SURVEY, "Gender_Male", "Type_of_Travel_Personal", "Class_Economy", "Class_Economy_Plus",
-              *[f"{a}_x_{b}" for a, b in S.INTERACTIONS], *[n_ for n_, _ in S.SCORE_SUMS],
-              *[n_ for n_, _, _ in S.CONSISTENCY_DIFFS]]
-    trials = L.feature_subset_search(lambda: J.boosted_trees(), wide, on_off, n, seed, k=folds, path=os.path.join(out_dir, "trials"))
+    trials = L.feature_subset_search(lambda: J.boosted_trees(), wide, FE.on_off_features(), n, seed, k=folds, path=os.path.join(out_dir, "trials"))
     IO.write_table(L.best_features(trials), os.path.join(out_dir, "best_features"))
     return trials

@@ -128,11 +128,8 @@ def feature_subset_trials(spark, sf):
     for x, d in (("Age", 3), ("Flight_Distance", 3), ("Departure_Delay_in_Minutes", 3), ("Arrival_Delay_in_Minutes", 3)):
         wide = wide.withColumn(f"{x}^{d}", F.col(f"`{x}`") ** d)
     wide = _with_folds(wide, k=3)
-    on_off = [x for x in [*S.SURVEY, "Gender_Male", "Type_of_Travel_Personal", "Class_Economy", "Class_Economy_Plus",
-                          *[f"{a}_x_{b}" for a, b in S.INTERACTIONS], *[n for n, _ in S.SCORE_SUMS],
-                          *[n for n, _, _ in S.CONSISTENCY_DIFFS]]]
     return finish(L.feature_subset_search(lambda: J.boosted_trees({"n_estimators": 10, "max_depth": 4}), wide,
-                                          on_off, n=3, seed=393, k=3))
+                                          FE.on_off_features(), n=3, seed=393, k=3))
 
 
 @register("adversarial_split_learned")

@@ -263,7 +263,7 @@ _BINS_CTE = (
 )
 def onehot_full(spark, sf):
     df = FE.features_prefix(train_frame(spark, sf))
-    return E.onehot(df.select("id", *FE.FULL_ONEHOT), FE.FULL_ONEHOT)
+    return E.onehot(df.select("id", *S.FULL_ONEHOT), S.FULL_ONEHOT)
 
 
 @register(
@@ -289,15 +289,15 @@ def survey_dummies(spark, sf):
 
 
 _FREQ_SQL = ", ".join(
-    f"{r6(f'COUNT(*) OVER (PARTITION BY {x}) / COUNT({x}) OVER ()')} AS {x}_freq" for x in FE.FREQ_COLUMNS
+    f"{r6(f'COUNT(*) OVER (PARTITION BY {x}) / COUNT({x}) OVER ()')} AS {x}_freq" for x in S.FREQ_COLUMNS
 )
 
 
 @register("frequency_encode", base() + f"SELECT id, {_FREQ_SQL} FROM train")
 def frequency_encode(spark, sf):
     df = train_frame(spark, sf)
-    out = E.frequency_encode(df.select("id", *FE.FREQ_COLUMNS), FE.FREQ_COLUMNS)
-    return finish(out.select("id", *[f"{x}_freq" for x in FE.FREQ_COLUMNS]))
+    out = E.frequency_encode(df.select("id", *S.FREQ_COLUMNS), S.FREQ_COLUMNS)
+    return finish(out.select("id", *[f"{x}_freq" for x in S.FREQ_COLUMNS]))
 
 
 # ---------------------------------------------------------------------------
@@ -339,14 +339,14 @@ def log_sqrt_transforms(spark, sf):
     + "SELECT id, "
     + ", ".join(
         f"CAST({x} AS DOUBLE) AS {x}, {r6(f'CAST({x} AS DOUBLE) * {x}')} AS {q(x + '^2')}"
-        for x in FE.POLY_COLUMNS
+        for x in S.POLY_COLUMNS
     )
     + f", {r6('CAST(Age AS DOUBLE) * Age * Age')} AS {q('Age^3')} FROM train",
 )
 def polynomial_features(spark, sf):
-    df = D.polynomial(train_frame(spark, sf), [x for x in FE.POLY_COLUMNS if x != "Age"])
+    df = D.polynomial(train_frame(spark, sf), [x for x in S.POLY_COLUMNS if x != "Age"])
     df = D.polynomial(df, ["Age"], degree=3)
-    cols = [y for x in FE.POLY_COLUMNS for y in (x, f"{x}^2")] + ["Age^3"]
+    cols = [y for x in S.POLY_COLUMNS for y in (x, f"{x}^2")] + ["Age^3"]
     return finish(df.select("id", *[c(x) for x in cols]))
 
 
@@ -424,7 +424,7 @@ def _full_sql(source: str = "train") -> tuple[str, list[str]]:
     inter_cols = []
     dbl = {"Total_Delay_Minutes", "Flight_Delay_Difference_Minutes", "Arrival_Delay_in_Minutes",
            "Flight_Distance", "Age", "Departure_Delay_in_Minutes"}
-    dbl |= {f"{x}^2" for x in FE.POLY_COLUMNS} | {f"{x}_freq" for x in FE.FREQ_COLUMNS}
+    dbl |= {f"{x}^2" for x in S.POLY_COLUMNS} | {f"{x}_freq" for x in S.FREQ_COLUMNS}
     for a, b in S.INTERACTIONS:
         name = f"{a}_x_{b}"
         inter_cols.append(f"{q(a)} * {q(b)} AS {q(name)}")
@@ -442,7 +442,7 @@ def _full_sql(source: str = "train") -> tuple[str, list[str]]:
         + f" AS Flight_Delay_Difference FROM {source})"
     )
     poly = ", ".join(
-        f"CAST({x} AS DOUBLE) * {x} AS {q(x + '^2')}" for x in FE.POLY_COLUMNS
+        f"CAST({x} AS DOUBLE) * {x} AS {q(x + '^2')}" for x in S.POLY_COLUMNS
     )
     f2 = (
         "f2 AS (SELECT * EXCLUDE (Gender, Customer_Type, Type_of_Travel, Class, Age_bins, Flight_Distance_bins,"
@@ -450,7 +450,7 @@ def _full_sql(source: str = "train") -> tuple[str, list[str]]:
         " CAST(Age AS DOUBLE) AS Age, CAST(Departure_Delay_in_Minutes AS DOUBLE) AS Departure_Delay_in_Minutes), "
         + poly + ", "
         + ", ".join(f"CASE WHEN {x} IS NOT NULL THEN COUNT(*) OVER (PARTITION BY {x}) / COUNT({x}) OVER () END"
-                    f" AS {x}_freq" for x in FE.FREQ_COLUMNS)
+                    f" AS {x}_freq" for x in S.FREQ_COLUMNS)
         + ", "
         + ", ".join(_onehot_sql(x, v, len(v) != 2) for x, v in {**_CATS, **_BIN_CATS}.items())
         + " FROM f1)"

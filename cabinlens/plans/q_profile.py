@@ -309,7 +309,7 @@ _INTER_VALUES = {
 )
 def label_counts_by_interaction(spark, sf):
     raw = AN.interaction_features(FX.raw_train(spark, sf))
-    return AN.label_counts(raw, AN.INTERACTION_FEATURES)
+    return AN.label_counts(raw, S.INTERACTION_FEATURES)
 
 
 @register(

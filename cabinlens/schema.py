@@ -159,6 +159,72 @@ LOW_IMPORTANCE = [
 # hard-vote weights of the three boosted/forest models
 VOTE_WEIGHTS = [1.0, 1.0, 1.5]
 
+# columns of the full feature set by encoding
+FULL_ONEHOT = [
+    "Gender",
+    "Customer_Type",
+    "Type_of_Travel",
+    "Class",
+    "Age_bins",
+    "Flight_Distance_bins",
+    "Flight_Delay_Difference",
+]
+FREQ_COLUMNS = ["Type_of_Travel", "Class", "Gender", "Customer_Type"]
+POLY_COLUMNS = ["Flight_Distance", "Age", "Departure_Delay_in_Minutes", "Arrival_Delay_in_Minutes"]
+
+# groups and interactions of the exploratory profile
+GROUP_FEATURES = ["Age Group", "Departure Delay Group", "Arrival Delay Group"]
+INTERACTION_FEATURES = [
+    "Class_SeatComfort",
+    "TravelType_FlightDistance",
+    "OnlineBooking_OnlineBoarding",
+    "FlightDistance_SeatComfort",
+    "InflightWifi_FlightDistance",
+]
+
+# choice -> columns it selects (fixed values of the feature-subset search)
+SELECTION_CHOICES: dict[str, dict[str, list[str]]] = {
+    "Age_Selection": {
+        "numerical": ["Age"],
+        "bins": ["Age_bins_Young_Adult", "Age_bins_Adult", "Age_bins_Senior"],
+        "squared": ["Age", "Age^2"],
+        "cubed": ["Age", "Age^2", "Age^3"],
+        "no_selection": [],
+    },
+    "Flight_Distance_Selection": {
+        "numerical": ["Flight_Distance"],
+        "bins": ["Flight_Distance_bins_Long-Haul", "Flight_Distance_bins_Medium-Haul"],
+        "squared": ["Flight_Distance", "Flight_Distance^2"],
+        "cubed": ["Flight_Distance", "Flight_Distance^2", "Flight_Distance^3"],
+        "no_selection": [],
+    },
+    "Delay_Selection": {
+        "numerical": ["Departure_Delay_in_Minutes", "Arrival_Delay_in_Minutes"],
+        "total": ["Total_Delay_Minutes"],
+        "categorical": ["Experienced_Delay"],
+        "squared": [
+            "Departure_Delay_in_Minutes",
+            "Arrival_Delay_in_Minutes",
+            "Departure_Delay_in_Minutes^2",
+            "Arrival_Delay_in_Minutes^2",
+        ],
+        "cubed": [
+            "Departure_Delay_in_Minutes",
+            "Arrival_Delay_in_Minutes",
+            "Departure_Delay_in_Minutes^2",
+            "Arrival_Delay_in_Minutes^2",
+            "Departure_Delay_in_Minutes^3",
+            "Arrival_Delay_in_Minutes^3",
+        ],
+        "no_selection": [],
+    },
+    "Delay_Difference_Selection": {
+        "numerical": ["Flight_Delay_Difference_Minutes"],
+        "bins": ["Flight_Delay_Difference_Made_Up_Time", "Flight_Delay_Difference_Lost_Time"],
+        "no_selection": [],
+    },
+}
+
 # ---------------------------------------------------------------------------
 # end of fixed values
 # ---------------------------------------------------------------------------
