@@ -4,9 +4,11 @@ Every vector gets, for each of ``TREES`` trees, a string of ``BITS`` signs of
 random projections.  The index rows are spread over blocks of ``BLOCK_ROWS``;
 in a block each tree is a sorted array of its strings.  A query descends in
 each tree, by binary search, to the rows with the longest common prefix, and
-then ascends in all trees at once, one bit at a time, until the ranges hold
-``share`` of the block (and ``least`` rows) in all.  Those candidates are
-scored by cosine, each block hands on its best, and the best of all blocks stay.
+then ascends in all trees at once, one bit at a time, until the ranges hold the
+block's part of ``breadth * n ** POWER`` rows (of ``n`` entries, ``least`` at
+least) in all, a row counted in each tree: a query's candidates grow less than
+the index.  They are scored by
+cosine, each block hands on its best, and the best of all blocks stay.
 The query set, in parts of as many rows, meets every block: a stated query set
 against all rows.
 
@@ -15,7 +17,7 @@ ties go to smaller ids: so a vector that a third of all rows holds neither
 fills a block nor makes pairs, and the result stays exact for it.  An entry is
 placed in a block by a hash of its vector, so no block depends on the data's
 clusters.  Entries whose cosines are equal or nearly so (multiples of one vector)
-are put in the order of the result before a block hands on its best.  ``share`` fixes the recall at every size; see README for the figures.
+are put in the order of the result before a block hands on its best.  See README for the recall at several sizes.
 
 Defined cases: rows with a null id or a vector that is null, empty, zero or
 holds null or non-finite components take no part; vectors of different lengths
@@ -27,32 +29,35 @@ columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabinlens.llm.common import materialize
 
-TREES = 48
+TREES = 256
 BITS = 16
 BLOCK_ROWS = 16384
+#: Growth of a query's candidates with the index.
+POWER = 0.7
+#: Trees that are hashed at a time.
+TREES_AT_ONCE = 8
 #: Cosines this close may be equal in exact order.
 ROUNDING = 1e-9
 
 
-def _planes(dim: int, trees: int, bits: int) -> np.ndarray:
-    return np.random.default_rng(dim * 1009 + 17).normal(size=(dim, trees * bits))
-
-
 def _strings(x: np.ndarray, trees: int, bits: int) -> np.ndarray:
-    """(trees, rows) integers whose leading bits are the hash string's start."""
-    signs = (x @ _planes(x.shape[1], trees, bits) > 0).reshape(len(x), trees, bits)
+    """(trees, rows) integers whose leading bits are the hash string's start: the
+    signs of random projections, the same for every block."""
     weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
-    return (signs @ weights).T
+    out = np.empty((trees, len(x)), np.int32)
+    for i in range(0, trees, TREES_AT_ONCE):
+        n = min(TREES_AT_ONCE, trees - i)
+        planes = np.random.default_rng([x.shape[1], i]).normal(size=(x.shape[1], n * bits))
+        out[i:i + n] = ((x @ planes > 0).reshape(len(x), n, bits) @ weights).T
+    return out
 
 
 class Forest:
@@ -62,7 +67,7 @@ class Forest:
         self.x = x / np.linalg.norm(x, axis=1, keepdims=True)
         self.trees, self.bits = trees, bits
         strings = _strings(self.x, trees, bits)
-        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.order = np.argsort(strings, axis=1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(strings, self.order, axis=1)
 
     def candidates(self, q: np.ndarray, wanted: int) -> list[np.ndarray]:
@@ -100,7 +105,7 @@ def exact_cosine(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return _dot(x, q) / (np.sqrt(_dot(q, q)) * np.sqrt(_dot(x, x)))
 
 
-def _search(k: int, share: float, least: int, trees: int, bits: int):
+def _search(k: int, share: float, trees: int, bits: int):
     """Best entries of one block for the queries that meet it."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"qv": pd.Series([], dtype="int64"), "entry": pd.Series([], dtype="int64")})
@@ -110,7 +115,7 @@ def _search(k: int, share: float, least: int, trees: int, bits: int):
         forest = Forest(raw, trees, bits)
         entries, low = left["entry"].to_numpy(), left["low"].to_numpy()
         q_all, names = np.stack(right["v"].to_numpy()).astype(np.float64), right["entry"].to_numpy()
-        wanted = max(least, math.ceil(share * len(left)))
+        wanted = math.ceil(share * len(left))
         out_q, out_e = [], []
         for i in range(0, len(names), 512):
             q = q_all[i:i + 512]
@@ -139,7 +144,7 @@ def _cosine(a: str, b: str) -> str:
 
 
 def nearest(
-    vectors: DataFrame, is_query, k: int = 5, share: float = 0.6, least: int = 512, trees: int = TREES, bits: int = BITS,
+    vectors: DataFrame, is_query, k: int = 5, breadth: float = 5.0, least: int = 2048, trees: int = TREES, bits: int = BITS,
     block_rows: int = BLOCK_ROWS, vec_id: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` (a
@@ -153,7 +158,8 @@ def nearest(
     # rank limit is applied before the shuffle as well)
     ranked = own.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     entries = materialize(ranked.groupBy("v").agg(F.first("entry").alias("entry"), F.collect_list("id").alias("ids")), "entries")
-    blocks = max(1, math.ceil(entries.count() / block_rows))
+    n = entries.count()
+    blocks, share = max(1, math.ceil(n / block_rows)), max(least, breadth * n ** POWER) / max(n, 1)
     asked = own.where("is_query").select("entry", "v").distinct()
     parts = max(1, math.ceil(asked.count() / block_rows))  # so that a task holds a bounded part of either side
     placed = entries.select(
@@ -163,7 +169,7 @@ def nearest(
         "entry", "v", F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
         F.pmod(F.hash("entry"), F.lit(parts)).alias("part"))
     found = placed.groupBy("dim", "block", "part").cogroup(asked.groupBy("dim", "block", "part")).applyInPandas(
-        _search(k, share, least, trees, bits), "qv long, entry long")
+        _search(k, share, trees, bits), "qv long, entry long")
 
     # exact scores of the few found, in SQL; then the ids behind each entry
     left = own.where("is_query").select(F.col("id").alias("query_id"), F.col("entry").alias("q_entry"), F.col("v").alias("q_v"))
