@@ -52,7 +52,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 K = BANDS * ROWS
 #: Rounds in which a bucket's members are compared with one head.
-ROUNDS = 3
+ROUNDS = 2
 #: Bits of a multiset's parity sketch.
 BITS = 512
 #: Most candidate classes (16 bytes each) whose keys are broadcast to skip a shuffle of all texts.
@@ -260,7 +260,7 @@ def near_classes(sketch: DataFrame, base: DataFrame, threshold: float) -> tuple[
         "bucket", "node", F.col("node").alias("root"), "w", "low", "high")
     pending = materialize(pending, "pending")
 
-    links, tested, turn = [], None, 0
+    links, tested, roots, turn = [], None, None, 0
     left = shingled.select(F.col("node").alias("na"), F.col("sh").alias("sh_a"))
     right = shingled.select(F.col("node").alias("nb"), F.col("sh").alias("sh_b"))
     sketches = [sizes.select(F.col("sn").alias(f"k{x}"), F.col("high").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
@@ -279,11 +279,17 @@ def near_classes(sketch: DataFrame, base: DataFrame, threshold: float) -> tuple[
             F.expr(_may_match("size_a", "size_b", "bits_a", "bits_b", threshold))).select("a", "b")
         scored = close.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb")).select(
             "a", "b", "sh_a", "sh_b").mapInArrow(_compare(threshold), "a long, b long, ok boolean")
-        links.append(materialize(scored.where("ok").select("a", "b").distinct(), "links"))
+        new = materialize(scored.where("ok").select("a", "b").distinct(), "links")
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        if new.isEmpty() and roots is not None:  # the components stay
+            if last:
+                return classes, roots
+            turn = ROUNDS
+            continue
+        links.append(new)
         roots = materialize(components(reduce(DataFrame.unionAll, links)), "roots")
         if last:
             return classes, roots
-        tested = pairs if tested is None else tested.unionAll(pairs)
         moved = pending.withColumnRenamed("root", "was").join(
             roots.select(F.col("node").alias("rn"), "root"), F.col("node") == F.col("rn"), "left")
         pending = materialize(moved.withColumn("root", F.coalesce("root", "was")).select(*pending.columns), "pending")
