@@ -300,7 +300,7 @@ def _may_match(a: str, b: str, bits_a: str, bits_b: str, threshold: float) -> st
     """Whether multisets of these sizes may reach the threshold: their parities
     differ in no more places than the multisets do."""
     differ = " + ".join(f"bit_count({bits_a}[{i}] ^ {bits_b}[{i}])" for i in range(BITS // 64))
-    most = f"{a} + {b} - 2 * ceil({threshold} * ({a} + {b}) / {1 + threshold} - 1e-6)"
+    most = f"{a} + {b} - 2 * ceil({threshold}D * ({a} + {b}) / {1 + threshold}D - 1e-6D)"
     return f"coalesce({differ} <= {most}, true)"
 
 
@@ -317,7 +317,7 @@ def _heads(pending: DataFrame, turn: int) -> DataFrame:
 
 
 def _near(low_a: str, high_a: str, low_b: str, high_b: str, threshold: float) -> str:
-    return f"({high_a} >= {threshold} * {low_b} AND {high_b} >= {threshold} * {low_a})"
+    return f"({high_a} >= {threshold}D * {low_b} AND {high_b} >= {threshold}D * {low_a})"
 
 
 def _head_pairs(pending: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
@@ -329,13 +329,17 @@ def _head_pairs(pending: DataFrame, heads: DataFrame, threshold: float) -> DataF
 def _all_pairs(pending: DataFrame, heads: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
     """Every pair of a bucket's members of different components that may match:
     those outside of its largest component with all others."""
-    own = pending.join(heads, F.col("bucket") == F.col("b")).join(sizes.select("sn", "bits"), F.col("node") == F.col("sn")).select(
-        "bucket", "node", "root", "low", "high", "bits", (F.col("root") == F.col("main.root")).alias("in_main"))
+    # the buckets of a node, at most BANDS of each of its texts
+    held = pending.groupBy(F.col("node").alias("hn")).agg(F.collect_set("bucket").alias("held"))
+    own = pending.join(heads, F.col("bucket") == F.col("b")).join(sizes.select("sn", "bits"), F.col("node") == F.col("sn")).join(
+        held, F.col("node") == F.col("hn")).select(
+        "bucket", "node", "root", "low", "high", "bits", "held", (F.col("root") == F.col("main.root")).alias("in_main"))
     own = materialize(own, "crossing")
     other = own.where("NOT in_main").select(F.col("bucket").alias("ob"), F.col("node").alias("b"), F.col("root").alias("root_b"),
-                                            F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("bits").alias("bits_b"))
+                                            F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("bits").alias("bits_b"), F.col("held").alias("held_b"))
+    once = "array_min(array_intersect(held, held_b)) = bucket"  # a pair is made by one of its buckets
     near = " AND ".join(["bucket = ob", "root <> root_b", "(in_main OR node < b)", _near("low", "high", "low_b", "high_b", threshold),
-                         _may_match("high", "high_b", "bits", "bits_b", threshold)])
+                         _may_match("high", "high_b", "bits", "bits_b", threshold), once])
     return own.join(other, F.expr(near)).select(F.col("node").alias("a"), "b")
 
 
