@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from cabinlens.operators import encode as E
+from cabinlens.operators import split as H
 from cabinlens.sources import fixtures as FX
 
 
@@ -40,3 +41,24 @@ def test_parts_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr(FX, "ROWS_A_PART", 200)
     parts = _parts(FX.passengers(spark, os.path.dirname(path)))
     assert len(parts) == 100 and sum(parts) == 20_000 and max(parts) < 400
+
+
+def test_parts_of_folds_follow_the_rows_not_the_shuffle_setting(spark):
+    df = spark.range(0, 20_000, numPartitions=2).select("id", (F.col("id") % 2).cast("int").alias("y"))
+    cores, keys = spark.sparkContext.defaultParallelism, ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    want = {tuple(r) for r in H.stratified_kfold(df, "y", k=3).collect()}
+    try:
+        for shuffled in ("2", "200"):
+            for threshold in ("10m", "-1"):
+                spark.conf.set(keys[0], shuffled)
+                spark.conf.set(keys[1], threshold)
+                folds = H.stratified_kfold(df, "y", k=3, rows_a_part=500).persist()  # as the learners keep it
+                parts = _parts(folds)
+                rounds = -(-20_000 // (500 * cores))
+                assert len(parts) == rounds * cores == folds.rdd.getNumPartitions() and max(parts) < 1000
+                assert {tuple(r) for r in folds.collect()} == want
+                folds.unpersist()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
