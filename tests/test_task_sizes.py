@@ -43,6 +43,37 @@ def test_parts_follow_the_rows(spark, monkeypatch):
     assert len(parts) == 100 and sum(parts) == 20_000 and max(parts) < 400
 
 
+def test_parts_follow_the_rows_of_a_row_group_cut_into_many_splits(spark, monkeypatch):
+    """A file of one row group cut into 64 splits has its rows in one of them."""
+    path = os.path.join(tempfile.mkdtemp(prefix="cabinlens-parts-"), "orders.parquet")
+    orders = spark.range(20_000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"))
+    orders.coalesce(1).write.parquet(path)
+    (file,) = [x for x in os.listdir(path) if x.endswith(".parquet")]
+    monkeypatch.setattr(FX, "ROWS_A_PART", 500)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, str(max(1, os.path.getsize(os.path.join(path, file)) // 64)))
+        scan = spark.read.parquet(path)
+        assert scan.rdd.getNumPartitions() >= 64 and _parts(scan) == [20_000]
+        got = FX.passengers(spark, os.path.dirname(path))
+        parts = _parts(got)
+        assert len(parts) == 40 and sum(parts) == 20_000 and max(parts) < 1000
+        assert got.select("id").distinct().count() == 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_finely_dealt_input_is_left_as_is(spark, monkeypatch):
+    monkeypatch.setattr(FX, "ROWS_A_PART", 500)
+    cores = spark.sparkContext.defaultParallelism
+    fine = spark.range(0, 4 * cores * 500, numPartitions=4 * cores)
+    assert sorted(_parts(FX.spread(fine, "id"))) == [500] * (4 * cores)
+    assert FX.spread(spark.range(0), "id").count() == 0
+
+
 def test_parts_of_folds_follow_the_rows_not_the_shuffle_setting(spark):
     df = spark.range(0, 20_000, numPartitions=2).select("id", (F.col("id") % 2).cast("int").alias("y"))
     cores, keys = spark.sparkContext.defaultParallelism, ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
